@@ -30,7 +30,7 @@ CHUNK, OVERLAP, LONG = 1 << 16, 1 << 9, 1 << 20
 #: A boundary is sure if this many characters beyond it were seen: the pattern's contractions
 #: look at two characters after the first, all else at one.
 AHEAD = 3
-KNOWN = 1 << 18
+KNOWN = 1 << 19
 
 
 @lru_cache(1)
@@ -115,21 +115,31 @@ class Coder(dict):
     def __missing__(self, span: str) -> tuple[str, int, bytes] | None:
         if len(self) >= KNOWN:
             self.clear()
-        clean = span and not span[0].isspace() and not span[-1].isspace()
-        out = self[span] = self.coded(splitter().findall(" " + span)) if clean else None
+        if span.isalpha():
+            out = self.coded((" " + span,))
+        elif span[:-1].isalpha() and span[-1] in ".,;:!?":
+            out = self.coded((" " + span[:-1], span[-1]))
+        elif not span or span[0].isspace() or span[-1].isspace():
+            out = None
+        else:
+            out = self.coded(splitter().findall(" " + span))
+        self[span] = out
         return out
 
     def text(self, text: str, chunk: int, overlap: int) -> tuple[str, int, bytes]:
         """The ids of a text as text, their number, and the decoded bytes."""
         if len(text) > chunk:
             return self.coded(split(text, chunk, overlap))
-        first, *rest = text.split(" ")
-        found = list(map(self.__getitem__, rest))
-        if not first or first[-1].isspace() or None in found:
+        spans = text.split(" ")
+        first, spans[0] = spans[0], "x"
+        if not first or first[-1].isspace():
+            return self.coded(splitter().findall(text))
+        found = list(map(self.__getitem__, spans))
+        found[0] = self.coded(splitter().findall(first))
+        try:
+            ids, n, raw = zip(*found, strict=True)
+        except TypeError:  # a None: some space doesn't stand alone
             return self.coded(splitter().findall(text))
-        found.append(self.coded(splitter().findall(first)))
-        found.insert(0, found.pop())
-        ids, n, raw = zip(*found, strict=True)
         return ",".join(ids), sum(n), b"".join(raw)
 
 

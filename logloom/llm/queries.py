@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, topk
+from logloom.llm import ann, bpe, topk, toxicity
 
 QUERIES = {
     "op2_exact_topk": topk.op2,
+    "op4_byte_bpe": bpe.op4,
     "op7_ann": ann.op7,
+    "op9_toxicity": toxicity.op9,
 }
 
 ORACLES = {
