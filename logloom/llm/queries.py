@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, topk, toxicity
+from logloom.llm import ann, bpe, licenses, topk, toxicity
 
 QUERIES = {
+    "op1_license_scan": licenses.op1,
     "op2_exact_topk": topk.op2,
     "op4_byte_bpe": bpe.op4,
     "op7_ann": ann.op7,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_license_scan": licenses.oracle(),
     "op2_exact_topk": topk.ORACLE,
     "op7_ann": ann.ORACLE,
 }
