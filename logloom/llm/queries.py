@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, licenses, topk, toxicity
+from logloom.llm import ann, bpe, licenses, secret_scan, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1,
     "op2_exact_topk": topk.op2,
     "op4_byte_bpe": bpe.op4,
     "op7_ann": ann.op7,
+    "op8_secret_scan": secret_scan.op8,
     "op9_toxicity": toxicity.op9,
 }
 
