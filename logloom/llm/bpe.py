@@ -163,7 +163,7 @@ def encode(docs: DataFrame, path: str = RANKS, chunk: int = CHUNK, overlap: int
     def row(doc_id: int | None, coded: tuple[str, int, bytes]) -> dict:
         ids, n, raw = coded
         out = {"doc_id": doc_id, "n_tokens": n, "ids_sha256": hashlib.sha256(ids.encode()).hexdigest(), "decoded_sha256": hashlib.sha256(raw).hexdigest()}
-        return out | ({"ids": [int(x) for x in ids.split(",") if x]} if with_ids else {})
+        return out | ({"ids": np.array(ids.split(",") if ids else [], np.int32)} if with_ids else {})
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, jaccard, licenses, mixing, secret_scan, topk, toxicity, warc
+from logloom.llm import ann, bpe, jaccard, licenses, mixing, pii, secret_scan, topk, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1,
     "op2_exact_topk": topk.op2,
     "op3_warc": warc.op3,
     "op4_byte_bpe": bpe.op4,
+    "op5_pii": pii.op5,
     "op6_jaccard_join": jaccard.op6,
     "op7_ann": ann.op7,
     "op8_secret_scan": secret_scan.op8,
