@@ -5,21 +5,25 @@ Equal texts are first put together, so that only different ones are compared. Th
 
 * Small sets (light): a pair of sizes n and m links if and only if it shares c(n, m) shingles,
   so both list all their subsets of that fixed size and meet under a common one.
-* Large sets (heavy): each is scanned against the inverted lists of its prefix, the shingles of
-  which a linked pair must share one. Shingles that many prefixes hold stand last in the order
-  that makes the prefix, so that passages which many documents share drop out of it.
+* Large sets (heavy): each is scanned against the inverted lists of its prefix, so long that a
+  linked pair shares as many of its shingles as its size asks for. Shingles that many prefixes
+  hold stand last in the order that makes the prefix, the commonest at the end, so that passages
+  which many documents share drop out of it.
 * The boundary between them is where the sizes' histogram makes the sum of both costs least.
 
-The lists never become pairs. A list's members meet in the group of the list's smallest member
-(its pivot), so that the many lists that near copies have in common make one group; a group's
-sets are laid in cells of bounded size, cell by cell all intersections are counted, and what
-leaves a cell are the edges of its own forest. So no link between different texts is lost, no
-group is collected in one task, and no pairs are written.
+Short lists (of at most `LONG_LIST` members) count, for each pair of fitting sizes, how many of
+them it shares; with enough the pair is a candidate. Long lists never become pairs: a list's
+members meet in the group of its smallest member (the pivot), so that the many lists that near
+copies have in common make one group. A pair that shares a long list is in a group, and one that
+shares none has all its shared shingles counted; so no link between different texts is lost.
+Candidates too meet in the group of the smaller one. A group's sets are laid in cells of bounded
+size, cell by cell all intersections are counted, and what leaves a cell are the edges of its
+own forest: no group is collected in one task.
 
 Rows: a null or empty text, or one without words, has an empty set and links with nothing; its
 component is itself. Rows of equal doc_id are one node with all their links (its size is the
 largest). A row with a null doc_id takes no part and has a null component. An empty table gives
-no rows. Shingles are compared by 64-bit hashes.
+no rows. Shingles are counted by hashes of 64 bits and compared by 48 of them.
 """
 
 from __future__ import annotations
@@ -37,9 +41,13 @@ from pyspark.sql import functions as F
 from logloom.llm.common import staged, table
 
 #: A prefix shingle that so many documents count among their first is common.
-COMMON = 32
+COMMON = 8
 #: At most so many common shingles are sent to the tasks: with more, only the commonest.
 COMMON_MOST = 1 << 20
+#: One more shared prefix shingle is asked for with so many shingles of the larger set.
+SHARED_STEP = 64
+#: Longer lists than this aren't counted pair by pair.
+LONG_LIST = 24
 #: A cell holds two blocks of about so many shingles.
 BLOCK_TOKENS = 1 << 18
 #: Up to so many ids are broadcast; more are joined by a shuffle.
@@ -59,7 +67,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(raw: bytes, k: int) -> np.ndarray:
-    """Sorted hashes of the distinct k-word shingles of a UTF-8 text, lower-cased A-Z."""
+    """Sorted 64-bit hashes of the distinct k-word shingles of a UTF-8 text, lower-cased A-Z."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, raw.lower().split()), np.uint64)
     if not len(h):
         return h
@@ -70,6 +78,17 @@ def shingles(raw: bytes, k: int) -> np.ndarray:
     return np.unique(out)
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted hashes, 6 bytes each."""
+    return np.ascontiguousarray((hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def overlap(n: int, m: int, t: int) -> int:
     """The least intersection with which sets of sizes n and m link."""
     return -(-t * (n + m) // (100 + t))
@@ -79,8 +98,14 @@ def partner_sizes(n: int, t: int) -> range:
     return range(-(-t * n // 100), 100 * n // t + 1)
 
 
+def common_least(n: int) -> int:
+    """How many prefix shingles a pair must share whose larger set has size n."""
+    return 1 + n // SHARED_STEP
+
+
 def prefix_length(n: int, t: int) -> int:
-    return n - -(-t * n // 100) + 1
+    """So long that linked sets share as many shingles of their prefixes as is asked of them."""
+    return min(n, n - -(-t * n // 100) + common_least(100 * n // t))
 
 
 def subset_sizes(n: int, t: int, boundary: int) -> list[int]:
@@ -113,7 +138,7 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 s = [shingles(t or b"", k) for t in part.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in s], pa.int32()), pa.array([x.tobytes() for x in s], pa.binary())], names=["doc_id", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in s], pa.int32()), pa.array(list(map(packed, s)), pa.binary())], names=["doc_id", "n", "tokens"])
 
     return docs.mapInArrow(run, SETS)
 
@@ -128,55 +153,73 @@ def first_tokens(sets: DataFrame, t: int, boundary: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [np.frombuffer(b, np.uint64)[: 2 * prefix_length(n, t)] for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if n and 100 * n // t > boundary]
+            out = [unpacked(b[: 12 * prefix_length(n, t)]) for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if n and 100 * n // t > boundary]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], names=["token"])
 
     return sets.select("n", "tokens").mapInArrow(run, "token long")
 
 
-def common_tokens(sets: DataFrame, t: int, boundary: int) -> np.ndarray:
-    """Shingles that stand last in the order, at most COMMON_MOST (any order gives the same
-    links; a better one makes shorter lists)."""
+def common_tokens(sets: DataFrame, t: int, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand last in the order, sorted, and their places among these by count; at
+    most COMMON_MOST (any order gives the same links; a better one makes shorter lists)."""
     counts = first_tokens(sets, t, boundary).groupBy("token").count().where(F.col("count") >= COMMON)
     counts = staged(counts, "jaccard-common")
     least = COMMON
     while counts.where(F.col("count") >= least).count() > COMMON_MOST:
         least *= 2
-    rows = counts.where(F.col("count") >= least).select("token").toArrow()
-    return np.sort(rows.column(0).to_numpy().astype(np.int64).view(np.uint64))
+    rows = counts.where(F.col("count") >= least).toArrow()
+    token, n = (rows.column(c).to_numpy() for c in ("token", "count"))
+    token = token[order := np.argsort(token)].astype(np.int64).view(np.uint64)
+    rank = np.empty(len(token), np.int64)
+    rank[np.lexsort((token, n[order]))] = np.arange(len(token))
+    return token, rank
 
 
-def keys(sets: DataFrame, t: int, boundary: int, common: np.ndarray) -> DataFrame:
-    """(key, doc_id): the lists that a set is in. Linked sets share a list."""
+def keys(sets: DataFrame, t: int, boundary: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, doc_id, n): the lists that a set is in, and its size. Linked sets share a list."""
     late = sets.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = late.value
+        common, rank = late.value
         for batch in batches:
-            ids, out = [], []
+            out, ids, sizes = [], [], []
             for doc_id, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not n:
                     continue
-                tokens = np.frombuffer(raw, np.uint64)
+                tokens, own = unpacked(raw), []
                 if 100 * n // t > boundary:
                     p = prefix_length(n, t)
                     if len(common):
                         at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                        hot = common[at] == tokens
-                        own = np.concatenate([tokens[~hot][:p], tokens[hot][: max(0, p - int((~hot).sum()))]])
+                        late_ones = common[at] == tokens
+                        first = tokens[~late_ones][:p]
+                        own = [first, common[at[late_ones]][np.argsort(rank[at[late_ones]])][: p - len(first)]]
                     else:
-                        own = tokens[:p]
-                    ids.append(np.full(len(own), doc_id))
-                    out.append(own)
+                        own = [tokens[:p]]
                 for c in subset_sizes(n, t, boundary):
-                    own = np.array([xxhash.xxh3_64_intdigest(tokens[list(x)].tobytes(), seed=c) for x in combinations(range(n), c)], np.uint64)
-                    ids.append(np.full(len(own), doc_id))
-                    out.append(own)
+                    own.append(np.array([xxhash.xxh3_64_intdigest(tokens[list(x)].tobytes(), seed=c) for x in combinations(range(len(tokens)), c)], np.uint64))
+                out += own
+                ids.append(doc_id)
+                sizes.append((n, sum(map(len, own))))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(ids), pa.int64())], names=["key", "doc_id"])
+                n, each = np.array(sizes).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), each)), pa.array(np.repeat(n, each), pa.int32())], names=["key", "doc_id", "n"])
+
+    return sets.mapInArrow(run, "key long, doc_id long, n int")
+
 
-    return sets.mapInArrow(run, "key long, doc_id long")
+def groups_of(lists: DataFrame, t: int) -> DataFrame:
+    """(pivot, doc_id): groups in which every linked pair meets."""
+    counted = lists.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("length")).where("length > 1")
+    shared = staged(lists.join(counted, "key"), "jaccard-lists")
+    long = shared.where(F.col("length") > LONG_LIST).select("pivot", "doc_id")
+    short = shared.where(F.col("length") <= LONG_LIST).select("key", "doc_id", "n")
+    pairs = short.toDF("key", "a", "na").join(short.toDF("key", "b", "nb"), "key")
+    pairs = pairs.where("a < b").where(100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
+    found = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("na", "nb")).alias("larger"))
+    found = found.where(F.col("shared") >= 1 + F.floor(F.col("larger") / SHARED_STEP)).select(F.col("a").alias("pivot"), F.explode(F.array("a", "b")).alias("doc_id"))
+    return staged(long.unionByName(found).distinct(), "jaccard-members")
 
 
 class Forest:
@@ -212,7 +255,7 @@ def links(sizes: np.ndarray, left: np.ndarray, sets: list[np.ndarray], t: int) -
     shared = np.zeros((len(rows), len(right)), np.float32)
     row_of, col_of = np.full(n, -1), np.full(n, -1)
     row_of[rows], col_of[right] = np.arange(len(rows)), np.arange(len(right))
-    step = max(64, (1 << 22) // max(1, n))  # columns at a time
+    step = max(1, min(width, (1 << 22) // max(1, n)))  # columns at a time
     for at in range(0, width, step):
         lo, hi = np.searchsorted(where, [at, at + step])
         o, w = owner[lo:hi], where[lo:hi] - at
@@ -232,9 +275,7 @@ def links(sizes: np.ndarray, left: np.ndarray, sets: list[np.ndarray], t: int) -
 
 def edges(sets: DataFrame, lists: DataFrame, t: int) -> DataFrame:
     """(a, b): links enough to connect what is connected."""
-    # a list's pivot is its smallest member; lists of one have nothing to tell
-    pivots = lists.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
-    members = staged(lists.join(pivots, "key").select("pivot", "doc_id").distinct(), "jaccard-members")
+    members = groups_of(lists, t)
     wanted = staged(members.select("doc_id").distinct(), "jaccard-wanted")
     small = wanted.count() <= BROADCAST_IDS
     needed = staged(sets.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi"), "jaccard-sets")
@@ -252,7 +293,7 @@ def edges(sets: DataFrame, lists: DataFrame, t: int) -> DataFrame:
         ids, sizes = table.column("doc_id").to_numpy(), table.column("n").to_numpy().astype(np.int64)
         out, forest = [], Forest(len(ids))
         if len(ids) > 1:
-            for a, b in links(sizes, left, [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()], t):
+            for a, b in links(sizes, left, [unpacked(x) for x in table.column("tokens").to_pylist()], t):
                 if forest.join(a, b) and ids[a] != ids[b]:
                     out.append((ids[a], ids[b]))
         a, b = zip(*out, strict=True) if out else ((), ())
