@@ -23,5 +23,6 @@ ORACLES = {
     "op3_warc": warc.ORACLE,
     "op6_jaccard_join": jaccard.ORACLE,
     "op7_ann": ann.ORACLE,
+    "op8_secret_scan": secret_scan.oracle(),
     "op10_mixing": mixing.oracle(),
 }

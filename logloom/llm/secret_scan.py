@@ -124,3 +124,59 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return scan(docs, ratios(samples(docs))).drop("found")
+
+
+def oracle() -> str:
+    """The same models and spans by joins over exploded transitions."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    hex_run = HEX.removeprefix("(?<![0-9a-f])")
+
+    def placed(kind: int, regex: str, source: str = "t") -> str:
+        return f"""SELECT r, {kind} AS kind, string_split_regex(x, {quote(regex)}) AS seg, regexp_extract_all(x, {quote(regex)}) AS m,
+    regexp_extract_all(x, {quote(regex)}, {2 if kind == 0 else 0}) AS v FROM {source}"""
+
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+drawn AS (SELECT sha256('sample' || i) AS h FROM range({SAMPLE_STRINGS}) s(i)),
+picked AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {SAMPLE_DOCS})),
+sample AS (
+  SELECT substr(h, 1, 40) AS s, true AS random FROM drawn
+  UNION ALL SELECT substr(to_base64(from_hex(h)), 1, 40), true FROM drawn
+  UNION ALL
+  SELECT s, false FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z_-]{{3,}}')) AS s FROM documents JOIN picked USING (doc_id)) WHERE NOT regexp_matches(s, '{ACCESS}|{hex_run}')
+),
+pair AS (SELECT random, substr(s, i, 2) AS p, count(*) AS n FROM (SELECT random, s, unnest(range(1, len(s))) AS i FROM sample) GROUP BY ALL),
+sign AS (SELECT unnest(string_split({quote(ALPHABET)}, '')) AS c),
+whole AS (SELECT random, substr(p, 1, 1) AS a, sum(n) AS n FROM pair WHERE substr(p, 1, 1) IN (SELECT c FROM sign) AND substr(p, 2, 1) IN (SELECT c FROM sign) GROUP BY ALL),
+prob AS (
+  SELECT k.random, a.c || b.c AS p, (coalesce(pair.n, 0) + 0.5::DOUBLE) / (coalesce(whole.n, 0) + 0.5::DOUBLE * {len(ALPHABET)}) AS q
+  FROM sign a CROSS JOIN sign b CROSS JOIN (SELECT unnest([true, false]) AS random) k
+  LEFT JOIN pair ON pair.random = k.random AND pair.p = a.c || b.c LEFT JOIN whole ON whole.random = k.random AND whole.a = a.c
+),
+model AS (SELECT p, CAST(round(1000 * ln(max(q) FILTER (WHERE random) / max(q) FILTER (WHERE NOT random))) AS BIGINT) AS w FROM prob GROUP BY p),
+hit AS ({placed(0, ASSIGN)} UNION ALL {placed(1, ACCESS)} UNION ALL {placed(2, hex_run)} UNION ALL {placed(3, RUN)}),
+place AS (
+  SELECT r, kind, m[i] AS found, v[i] AS v,
+    CAST(list_sum(list_transform(seg[1:i], lambda s: len(s))) + coalesce(list_sum(list_transform(m[1:i-1], lambda s: len(s))), 0) AS BIGINT) AS a
+  FROM (SELECT *, unnest(range(1, 1 + len(m))) AS i FROM hit WHERE len(m) > 0)
+),
+span AS (SELECT r, kind, found, a, a + len(found) AS b FROM place WHERE kind <> 0 OR len(v) >= 6),
+odd AS (
+  SELECT r, kind, a, b FROM (SELECT r, kind, a, b, found, unnest(range(1, len(found))) AS i FROM span WHERE kind = 3)
+  LEFT JOIN model ON p = substr(found, i, 2) GROUP BY r, kind, a, b, found HAVING sum(coalesce(w, 0))::DOUBLE / (len(found) - 1) >= {THRESHOLD}
+),
+kept AS (
+  SELECT r, kind, a, b FROM span WHERE kind < 3
+  UNION ALL
+  SELECT * FROM odd WHERE NOT EXISTS (SELECT 1 FROM span s WHERE s.kind < 3 AND s.r = odd.r AND s.a < odd.b AND odd.a < s.b)
+),
+named AS (SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || a || ':' || b AS s FROM kept),
+doc AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+    coalesce(string_agg(s, ',' ORDER BY a, kind) FILTER (WHERE kind < 3), '') AS base, string_agg(s, ',' ORDER BY a, kind) AS spans
+  FROM named GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN doc USING (r)
+"""
