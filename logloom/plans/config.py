@@ -145,10 +145,15 @@ class Config:
 
 
 def load(text_or_path: str | Path) -> Config:
-    """Configuration of a YAML or JSON file (comments allowed), or of its text. Disabled flows
+    """Configuration of a YAML or JSON file (comments allowed), its http address, or its text. Disabled flows
     are left out, two flows of one id are an error."""
     text, yaml_like = str(text_or_path), False
-    if isinstance(text_or_path, Path) or "\n" not in text and len(text) < 4096 and Path(text).exists():
+    if re.match(r"https?://\S+$", text):
+        from urllib.request import urlopen
+
+        with urlopen(text, timeout=30) as r:
+            yaml_like, text = text.endswith((".yml", ".yaml")), r.read().decode()
+    elif isinstance(text_or_path, Path) or "\n" not in text and len(text) < 4096 and Path(text).exists():
         yaml_like = Path(text_or_path).suffix in (".yml", ".yaml")
         text = Path(text_or_path).read_text()
     if yaml_like:

@@ -162,3 +162,21 @@ def test_config(tmp_path):
             flow(bad)
     with pytest.raises(ValueError):
         load('{"flows": [{"filePattern": "/a", "stream": "s"}, {"filePattern": "/a", "stream": "s"}]}')
+
+
+def test_whole_files_when_stable(spark, tmp_path):
+    from logloom.plans import whole
+
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    f = flow({"filePattern": f"{logs}/*", "stream": "s", "isFileAppendable": False, "maxFileCheckingMillis": 1000, "dumpDirectory": "d"})
+    (logs / "a.log").write_text("x")
+    (logs / "e.log").write_text("")
+    state, target = f"file://{tmp_path}/state", str(tmp_path / "store")
+    names = lambda now: sorted(r["data"] for r in whole.upload(spark, f, state, target, now).collect())
+    assert names(1_000) == []
+    assert names(1_500) == []
+    (logs / "b.log").write_text("y")
+    assert names(3_000) == ["d/a.log"]
+    assert names(9_000) == ["d/b.log"]
+    assert names(20_000) == []
