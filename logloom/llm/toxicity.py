@@ -43,9 +43,10 @@ MENTION = frozenset(b"word words term said says called quote quoted wrote insult
 ADDRESS = frozenset(b"you your youre u are he she they this these such tu vous du ihr ist bist eres usted".split())
 WINDOW = 6
 SAMPLE = 8192
-#: A stem has 4 to 7 characters, occurs in so many different toxic texts, and so large a share
-#: of the texts that it occurs in are toxic.
-STEM, STEM_TEXTS, STEM_SHARE = range(4, 8), 5, 0.85
+#: A stem has 4 to 7 characters, occurs in so many different toxic texts and so large a part of
+#: them (fewer hold what is only common to a text and its near copies), and so large a share of
+#: the texts that it occurs in are toxic.
+STEM, STEM_TEXTS, STEM_PART, STEM_SHARE = range(4, 8), 5, 0.02, 0.85
 WORD_BYTES = bytes(c if c > 127 or chr(c) in "0123456789@$abcdefghijklmnopqrstuvwxyz" else ord(chr(c).lower()) if 65 <= c <= 90 else 32 for c in range(256))
 TOKEN = re.compile(rb"[0-9@$a-z\x80-\xbf\xc3-\xff]+|\"|\xe2\x80[\x9c\x9d\x9e]|\xc2[\xab\xbb]", re.I)
 QUOTES = frozenset((b'"', b"\xe2\x80\x9c", b"\xe2\x80\x9d", b"\xe2\x80\x9e", b"\xc2\xab", b"\xc2\xbb"))
@@ -210,9 +211,10 @@ def beginnings(raw: bytes) -> set[str]:
     return {w[:n] for w in words for n in STEM if len(w) >= n}
 
 
-def choose_stems(toxic: dict[str, int], clean: dict[str, int]) -> tuple[str, ...]:
-    """Of the beginnings that occur in toxic texts and hardly in others, those without a shorter one."""
-    good = {s for s, n in toxic.items() if n >= STEM_TEXTS and n / (n + clean.get(s, 0)) >= STEM_SHARE}
+def choose_stems(toxic: dict[str, int], clean: dict[str, int], texts: int = 0) -> tuple[str, ...]:
+    """Of the beginnings that occur in the toxic `texts` and hardly in others, those without a
+    shorter one."""
+    good = {s for s, n in toxic.items() if n >= max(STEM_TEXTS, STEM_PART * texts) and n / (n + clean.get(s, 0)) >= STEM_SHARE}
     return tuple(sorted(s for s in good if not any(s[:n] in good for n in range(min(STEM), len(s)))))
 
 
@@ -238,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return {r["s"]: r["n"] for r in total.collect()}
 
     toxic = count(1, None)
-    stems = choose_stems(toxic, count(0, frozenset(toxic)))
+    stems = choose_stems(toxic, count(0, frozenset(toxic)), rows.where("y = 1").select("text").distinct().count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
