@@ -43,9 +43,17 @@ def poll(spark: SparkSession, flow: Flow, state: str, now_ms: int | None = None)
     return spark.read.parquet(where).where("state = 'Upload'").select("file_id", "path", "name", "size")
 
 
-def upload(spark: SparkSession, flow: Flow, state: str, target: str, now_ms: int | None = None) -> DataFrame:
-    """Copy what has become stable and return the notices (object_key, partition key) of it. A
-    blank destination has no notices."""
-    done = sink.copy_files(poll(spark, flow, state, now_ms), target, flow.dump_directory, flow.upload_full_path)
-    notices = done.select("path", F.col("object_key").alias("data"), "size")
+def upload(spark: SparkSession, flow: Flow, state: str, target: str, now_ms: int | None = None, clean: bool = False) -> DataFrame:
+    """Copy what has become stable and return the notices (object key as `data`) of it; with
+    `clean` the originals are deleted, moved or renamed as the flow says. The copies are made
+    once, however often the result is read. A blank destination has no notices."""
+    files = poll(spark, flow, state, now_ms)
+
+    def after(path: str) -> None:
+        sink.clean_up(path, delete=flow.delete_policy == "immediate", move_to=flow.file_move_to_dir, suffix=flow.file_suffix)
+
+    done = sink.copy_files(files, target, flow.dump_directory, flow.upload_full_path, after if clean else None)
+    where = f"{state.rstrip('/')}_uploads/poll={last_snapshot(spark, state)[1]}"
+    done.select("path", F.col("object_key").alias("data"), "size").write.mode("overwrite").parquet(where)
+    notices = spark.read.parquet(where)
     return notices if flow.destination.strip() else notices.where(F.lit(False))

@@ -129,9 +129,10 @@ def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_path: bool = False) -> DataFrame:
+def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_path: bool = False, after: Callable[[str], object] | None = None) -> DataFrame:
     """Copy whole files (path) under their object keys: (path, object_key, size). The copy is
-    made under a name of the attempt and renamed."""
+    made under a name of the attempt and renamed; `after` is called with each copied path. A
+    task that is run again takes a file that is gone, but has been copied, as done."""
     key = delivery.object_key(dump_directory, F.col("path") if full_path else F.element_at(F.split("path", "/"), -1))
     rows = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path")).select("path", key.alias("object_key"))
 
@@ -145,9 +146,12 @@ def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_pat
             for r in batch.to_pylist():
                 to = os.path.join(target, r["object_key"])
                 os.makedirs(os.path.dirname(to), exist_ok=True)
-                part = f"{to}.{uuid.uuid4().hex}.part"
-                shutil.copyfile(r["path"], part)
-                os.replace(part, to)
+                if os.path.exists(r["path"]) or not os.path.exists(to):
+                    part = f"{to}.{uuid.uuid4().hex}.part"
+                    shutil.copyfile(r["path"], part)
+                    os.replace(part, to)
+                    if after is not None:
+                        after(r["path"])
                 out.append(r | {"size": os.path.getsize(to)})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("path", pa.string()), ("object_key", pa.string()), ("size", pa.int64())]))
 

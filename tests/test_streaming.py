@@ -173,10 +173,11 @@ def test_whole_files_when_stable(spark, tmp_path):
     (logs / "a.log").write_text("x")
     (logs / "e.log").write_text("")
     state, target = f"file://{tmp_path}/state", str(tmp_path / "store")
-    names = lambda now: sorted(r["data"] for r in whole.upload(spark, f, state, target, now).collect())
+    names = lambda now, **k: sorted(r["data"] for r in whole.upload(spark, f, state, target, now, **k).collect())
     assert names(1_000) == []
     assert names(1_500) == []
     (logs / "b.log").write_text("y")
     assert names(3_000) == ["d/a.log"]
-    assert names(9_000) == ["d/b.log"]
+    assert names(9_000, clean=True) == ["d/b.log"]
+    assert (logs / "b.log.COMPLETED").exists() and (tmp_path / "store/d/b.log").read_text() == "y"
     assert names(20_000) == []
