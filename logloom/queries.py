@@ -232,6 +232,11 @@ def skip_header(t):
     return framing.skip_header(doc_lines(t), 1).select("file_id", "line_no", "raw")
 
 
+@query(f"WITH {LINES_SQL}, m AS (SELECT *, max(line_no) OVER (PARTITION BY file_id) AS last FROM lines) SELECT file_id, line_no, raw FROM m WHERE raw <> '' OR NOT terminated OR line_no = last")
+def drop_lone_delimiters(t):
+    return framing.drop_lone_delimiters(doc_lines(t)).select("file_id", "line_no", "raw")
+
+
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, raw || CASE WHEN terminated THEN chr(10) ELSE '' END AS data FROM lines")
 def keep_delimiter(t):
     return doc_lines(t).select("file_id", "line_no", framing.with_delimiter(F.col("raw"), F.col("terminated"), "\n", True).alias("data"))
@@ -273,6 +278,17 @@ def key_composite(t):
     return t("documents").select("doc_id", keys.key("FILE_NAME, DETERMINISTIC, fixed", F.col("text"), path).alias("partition_key"))
 
 
+@query("SELECT count(*) AS n, true AS int_in_range, true AS double_in_range FROM documents")
+def key_random_range(t):
+    k = t("documents").select(keys.key("RANDOM_INT", F.col("text"), F.lit("")).cast("long").alias("i"), keys.key("RANDOM_DOUBLE", F.col("text"), F.lit("")).cast("double").alias("d"))
+    return k.agg(F.count("*").alias("n"), F.bool_and(F.col("i").between(0, 999_999)).alias("int_in_range"), F.bool_and((F.col("d") >= 0) & (F.col("d") < 1e6)).alias("double_in_range"))
+
+
+@query("SELECT doc_id, source || '.log' AS partition_key FROM documents")
+def key_file_name(t):
+    return t("documents").select("doc_id", keys.key("FILE_NAME", F.col("text"), F.concat(F.lit("/var/log/"), "source", F.lit(".log"))).alias("partition_key"))
+
+
 @query("SELECT l_orderkey, l_linenumber, CAST((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1) // 50 AS BIGINT) AS batch_id FROM lineitem")
 def batch_by_count(t):
     return batching.by_count(t("lineitem"), ["l_suppkey"], ["l_orderkey", "l_linenumber"], 50).select("l_orderkey", "l_linenumber", "batch_id")
