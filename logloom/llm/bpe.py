@@ -30,7 +30,7 @@ CHUNK, OVERLAP, LONG = 1 << 16, 1 << 9, 1 << 20
 #: A boundary is sure if this many characters beyond it were seen: the pattern's contractions
 #: look at two characters after the first, all else at one.
 AHEAD = 3
-KNOWN = 1 << 19
+KNOWN = 1 << 18
 
 
 @lru_cache(1)
