@@ -18,8 +18,9 @@ def lines(df: DataFrame, file_id: str, text: str, delimiter: str = "\n", keep_un
     part after the last delimiter is a record only if it isn't empty; it is unterminated, and
     with `keep_unterminated` off it is held back as a tailer would hold it."""
     escaped = rf"\x{ord(delimiter):02x}"
-    parts = F.split(F.col(text), escaped, -1)
-    out = df.select(F.col(file_id).alias("file_id"), F.size(parts).alias("n"), F.posexplode(parts).alias("line_no", "raw"))
+    # the number of parts is found below the explode, else it would be found again for each line
+    out = df.select(F.col(file_id).alias("file_id"), F.split(F.col(text), escaped, -1).alias("parts")).withColumn("n", F.size("parts"))
+    out = out.select("file_id", "n", F.posexplode("parts").alias("line_no", "raw"))
     out = out.withColumn("terminated", F.col("line_no") < F.col("n") - 1)
     out = out.where("terminated" if not keep_unterminated else "terminated OR raw <> ''")
     return offsets(out.drop("n"))
