@@ -1,7 +1,8 @@
 """Documents linked by the Jaccard similarity of their word shingles: a size-aware join.
 
 Two sets link when their intersection reaches `threshold` (a whole percentage) of their union.
-Equal texts are first put together, so that only different ones are compared. Then:
+Equal texts are first put together (but for ids that hold several), so that only different ones
+are compared. Then:
 
 * Small sets (light): a pair of sizes n and m links if and only if it shares c(n, m) shingles,
   so both list all their subsets of that fixed size and meet under a common one.
@@ -217,8 +218,9 @@ def groups_of(lists: DataFrame, t: int) -> DataFrame:
     short = shared.where(F.col("length") <= LONG_LIST).select("key", "doc_id", "n")
     pairs = short.toDF("key", "a", "na").join(short.toDF("key", "b", "nb"), "key")
     pairs = pairs.where("a < b").where(100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
-    found = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("na", "nb")).alias("larger"))
-    found = found.where(F.col("shared") >= 1 + F.floor(F.col("larger") / SHARED_STEP)).select(F.col("a").alias("pivot"), F.explode(F.array("a", "b")).alias("doc_id"))
+    # by sizes too: an id's texts are counted apart, so that a large one doesn't ask more of a small one
+    found = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+    found = found.where(F.col("shared") >= 1 + F.floor(F.greatest("na", "nb") / SHARED_STEP)).select(F.col("a").alias("pivot"), F.explode(F.array("a", "b")).alias("doc_id"))
     return staged(long.unionByName(found).distinct(), "jaccard-members")
 
 
@@ -329,9 +331,11 @@ def joined(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = docs.where("doc_id IS NOT NULL")
     digest = known.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    # an id with several texts keeps them all: only ids with one text are copies, and have copies
+    several = digest.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least < most")
+    digest = without(digest, staged(several.select("doc_id"), "jaccard-several"))
     first = digest.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
     copies = staged(digest.join(first, "digest").where("doc_id <> first").select("doc_id", "first"), "jaccard-copies")
-    # an id that also holds another text is not only a copy
     ids = staged(copies.select("doc_id").distinct(), "jaccard-copied")
     own = without(known, ids)
     sets = staged(sets_of(own, k), "jaccard-sets-of")

@@ -322,6 +322,22 @@ def test_jaccard(spark, odd, empty, k, t):
         assert jaccard.joined(empty, k, t).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    r = random.Random(12)
+    a, b, c = (" ".join(f"{x}{r.randrange(10**6)}" for _ in range(n)) for x, n in (("a", 40), ("b", 300), ("c", 12)))
+    near = " ".join([*b.split()[:-2], "y", "z"])
+    for texts in (
+        [(1, a), (5, a), (5, b), (9, near)],
+        [(1, a), (5, a), (5, b), (9, b)],
+        [(1, a), (2, b), (3, c), (3, None), (7, a), (7, b), (7, b), (8, c), (9, near)],
+        [(1, a), (1, ""), (2, ""), (3, ""), (3, b), (4, near)],
+        [(2, a), (2, b), (3, b), (4, a), (5, c), (5, near), (6, c), (6, c)],
+    ):
+        want = components_of(texts, 3, 90)
+        got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.joined(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+        assert got == want
+
+
 def test_jaccard_cells_and_prefixes(monkeypatch):
     r = random.Random(9)
     for _ in range(60):
