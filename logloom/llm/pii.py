@@ -4,7 +4,8 @@ The tagger is trained here, in numpy, from labelled spans that a seeded generato
 more shapes than the patterns know. Every label holds a digit or an @, so windows without either
 can't hold a span and aren't read; the others, overlapping by half, are decoded by Viterbi in
 batches. A span counts in the window whose middle half it starts in, so that each place is
-decided once for the text as a whole, and where spans still overlap the longer stays. The
+decided once for the text as a whole; one that reaches its window's end goes on in the windows
+after it for as long as these continue it. Where spans still overlap the longer stays. The
 patterns' spans always stay; the tagger's are added where they overlap none of these.
 
 Rows: a null text counts as empty; an empty text has no spans (the digest is that of no bytes).
@@ -288,23 +289,50 @@ def tagged(texts: list[str], tagger: Tagger, batch: int = 512) -> list[list[tupl
     jobs = [(n, at) for n, t in enumerate(texts) for at in windows(t)]
     coded = {n: classes(texts[n]) for n in {n for n, _ in jobs}}
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for k in range(0, len(jobs), batch):
-        part = jobs[k : k + batch]
-        x = np.full((len(part), WINDOW), CLASSES - 1, np.int8)
-        for row, (n, at) in zip(x, part, strict=True):
-            c = coded[n][at : at + WINDOW]
-            row[: len(c)] = c
-        for (n, at), tags in zip(part, tagger.decode(x), strict=True):
-            # a window decides on what starts in its middle half; the first also on what is before
-            lo, hi = (0 if at == 0 else STRIDE // 2), STRIDE + STRIDE // 2
-            for start in np.flatnonzero((tags % 2 == 1)[:hi]):
-                if start >= lo:
-                    end = start + 1
-                    while end < WINDOW and tags[end] == tags[start] + 1:
-                        end += 1
-                    end = min(int(end), len(texts[n]) - at)
-                    if end > start and TRIGGER.search(texts[n], at + int(start), at + end):
-                        found[n].append((int(tags[start] - 1) // 2, at + int(start), at + end))
+
+    def decoded(jobs: list[tuple[int, int]]) -> Iterator[tuple[int, int, np.ndarray]]:
+        for k in range(0, len(jobs), batch):
+            part = jobs[k : k + batch]
+            x = np.full((len(part), WINDOW), CLASSES - 1, np.int8)
+            for row, (n, at) in zip(x, part, strict=True):
+                c = coded[n][at : at + WINDOW]
+                row[: len(c)] = c
+            for (n, at), tags in zip(part, tagger.decode(x), strict=True):
+                yield n, at, tags
+
+    def add(n: int, kind: int, start: int, end: int) -> None:
+        if end > start and TRIGGER.search(texts[n], start, end):
+            found[n].append((kind, start, end))
+
+    cut: list[tuple[int, int, int, int]] = []
+    for n, at, tags in decoded(jobs):
+        # a window decides on what starts in its middle half; the first also on what is before
+        lo, hi = (0 if at == 0 else STRIDE // 2), STRIDE + STRIDE // 2
+        for start in np.flatnonzero((tags % 2 == 1)[:hi]):
+            if start >= lo:
+                kind, end = int(tags[start] - 1) // 2, int(start) + 1
+                while end < WINDOW and tags[end] == 2 + 2 * kind:
+                    end += 1
+                if end == WINDOW and at + end < len(texts[n]):
+                    cut.append((n, kind, at + int(start), at + end))
+                else:
+                    add(n, kind, at + int(start), min(at + end, len(texts[n])))
+    # the window that sees both sides of where a span was cut says how far it goes on
+    while cut:
+        more = {(n, at): tags for n, at, tags in decoded(sorted({(n, end - STRIDE) for n, _, _, end in cut}))}
+        again = []
+        for n, kind, start, end in cut:
+            tags, i = more[n, end - STRIDE], STRIDE
+            while i < WINDOW and tags[i] == 2 + 2 * kind:
+                i += 1
+            # nor does a blank or mark belong to it that only looked so at the window's end
+            while end + i - STRIDE > start + 1 and i in range(1, STRIDE + 1) and tags[i - 1] == 0 and not texts[n][end + i - STRIDE - 1].isalnum():
+                i -= 1
+            if i == WINDOW and end + STRIDE < len(texts[n]):
+                again.append((n, kind, start, end + STRIDE))
+            else:
+                add(n, kind, start, min(end + i - STRIDE, len(texts[n])))
+        cut = again
     out = []
     for spans in found:
         kept: list[tuple[int, int, int]] = []

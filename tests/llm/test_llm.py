@@ -255,6 +255,31 @@ def test_pii_held_out(tagger):
     assert any(text[a:b] == "(555) 123-4567" for _, a, b in pii.all_spans([text], tagger)[0][1])
 
 
+def test_pii_long_spans_at_every_place():
+    tagger, filler = pii.trained(), "the quick er onti relan " * 12
+    for account in ("DE12 3456 7890 1234 5678 90", "DE12 3456 7890 1234 5678 9012 34", "FR76 3000 6000 0112 3456 7890 189"):
+        texts = [f"{filler[:n]} {account} then the rest of it goes on. {filler}" for n in range(2 * pii.WINDOW)]
+        for n, (_, spans) in enumerate(pii.all_spans(texts, tagger)):
+            assert [texts[n][a:b] for _, a, b in spans] == [account], (account, n)
+
+
+class Marks:
+    """Finds runs of digits and #, of any length, without a look at what is around."""
+
+    def decode(self, x):
+        inside = (x == pii.class_table()[ord("5")]) | (x == pii.class_table()[ord("#")])
+        return np.where(inside, np.where(np.pad(inside, ((0, 0), (1, 0)))[:, :-1], 10, 9), 0).astype(np.int8)
+
+
+def test_pii_spans_over_several_windows():
+    r = random.Random(4)
+    for _ in range(200):
+        a, n, b = r.randint(0, 200), r.randint(7, 400), r.randint(0, 200)
+        span = "5" * r.randint(1, n)
+        text = "x" * a + span.ljust(n, "#") + "y" * b
+        assert (4, a, a + n) in pii.tagged([text], Marks())[0]
+
+
 def test_pii_rows(texts, odd, empty, tagger):
     both = texts.unionByName(odd)
     text = {(r["doc_id"], r["text"]) for r in both.collect()}
