@@ -24,10 +24,12 @@ BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The phrases whose places are counted, and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: label, keyword, name as it stands before "license", identifiers (words of the short form).
+#: label, keyword (a word of each of the name's alternatives; a family without such a word has a
+#: row for each), name as it stands before "license", identifiers (words of the short form).
 FAMILIES = [
     ("agpl", "affero", "(?:gnu )?affero(?: general)?(?: public)?", "agpl"),
-    ("lgpl", "lesser", "(?:gnu )?(?:lesser|library)(?: general)?(?: public)?", "lgpl"),
+    ("lgpl", "lesser", "(?:gnu )?lesser(?: general)?(?: public)?", "lgpl"),
+    ("lgpl", "library", "(?:gnu )?library(?: general)?(?: public)?", "lgpl"),
     ("gpl", "gnu", "gnu(?: general)?(?: public)?", "gpl"),
     ("fdl", "documentation", "(?:gnu )?free documentation", "gfdl"),
     ("apache", "apache", "apache(?: software)?(?: foundation)?", "apache"),
@@ -51,12 +53,13 @@ FAMILIES = [
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("libpng", "libpng", "libpng", "libpng"),
     ("boost", "boost", "boost(?: software)?", "bsl"),
-    ("wtfpl", "wtfpl", "(?:do what the fuck you want to )?(?:wtfpl|public)", "wtfpl"),
+    ("wtfpl", "wtfpl", "(?:do what the fuck you want to )?wtfpl", "wtfpl"),
+    ("wtfpl", "fuck", "do what the fuck you want to public", "wtfpl"),
     ("unlicense", "unlicense", "unlicense", "unlicense"),
     ("ms-pl", "microsoft", "microsoft public", "ms pl"),
     ("ms-rl", "reciprocal", "microsoft reciprocal", "ms rl"),
     ("sil-ofl", "font", "(?:sil )?open font", "ofl"),
-    ("odbl", "database", "open (?:database|data commons)(?: attribution)?", "odbl"),
+    ("odbl", "open", "open (?:database|data commons)(?: attribution)?", "odbl"),
     ("ncsa", "ncsa", "(?:university of illinois )?(?:open source )?ncsa(?: open source)?", "ncsa"),
     ("afl", "academic", "academic free", "afl"),
     ("osl", "open", "open software", "osl"),
@@ -69,7 +72,8 @@ FAMILIES = [
     ("busl", "business", "business source", "busl"),
     ("elastic", "elastic", "elastic", "elastic"),
     ("commons-clause", "commons", "commons clause", "commons clause"),
-    ("openrail", "rail", "(?:creativeml )?open ?rail(?: m)?", "openrail"),
+    ("openrail", "rail", "(?:creativeml )?open rail(?: m)?", "openrail"),
+    ("openrail", "openrail", "(?:creativeml )?openrail(?: m)?", "openrail"),
 ]
 VERSION = "(?: (?:version |v)?[0-9]+(?: [0-9]+)*)?"
 LATER = "(?: or (?:any )?later(?: version)?)?"
@@ -87,7 +91,7 @@ SHAPES = [
 ]
 #: Rules that follow no shape: label, keyword, pattern, confidence.
 OTHERS = [
-    ("", "not", "(?:not|never|no longer) (?:be )?(?:licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons)(?: by)?", 0.0),
+    ("", "under", "(?:not|never|no longer) (?:be )?(?:licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons)(?: by)?", 0.0),
     ("cc-by-nc-nd", "cc", "(?:licensed under )?(?:the )?cc by nc nd" + VERSION, 0.9),
     ("cc-by-nc-sa", "cc", "(?:licensed under )?(?:the )?cc by nc sa" + VERSION, 0.9),
     ("cc-by-nc", "cc", "(?:licensed under )?(?:the )?cc by nc" + VERSION, 0.9),
@@ -107,12 +111,12 @@ OTHERS = [
     ("isc", "granted", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 1.0),
     ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted", 1.0),
     ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license", 1.0),
-    ("apache", "apache", "you may not use this file except in compliance with the (?:apache )?license", 0.9),
+    ("apache", "compliance", "you may not use this file except in compliance with the (?:apache )?license", 0.9),
     ("proprietary", "reserved", "all rights reserved", 0.5),
     ("copyleft", "copyleft", "copyleft", 0.5),
 ]
 #: Every rule needs one of these somewhere in a text.
-GATE = r"(?i)licen[sc]e|cc[^a-z0-9]+by|\bcc0|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribut|rights[^a-z0-9]+reserved|copyleft|not[^a-z0-9]+use[^a-z0-9]+this"
+GATE = r"(?i)licen[sc]e|cc[^a-z0-9]+by|\bcc0|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribut|rights[^a-z0-9]+reserved|copyleft|not[^a-z0-9]+use[^a-z0-9]+this|under[^a-z0-9]+(?:(?:a|the)[^a-z0-9]+)?cc"
 
 
 def spaced(pattern: str) -> str:

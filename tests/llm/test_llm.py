@@ -74,6 +74,45 @@ def test_licenses_rules(spark):
     assert len(licenses.rules()) > 300
 
 
+def one_of(parsed, r):
+    """A string that a parsed pattern matches, drawn by r."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = r.choice(arg)
+            out += chr(value if str(kind) == "LITERAL" else r.randint(*value))
+        elif op == "BRANCH":
+            out += one_of(r.choice(arg[1]), r)
+        elif op == "SUBPATTERN":
+            out += one_of(arg[3], r)
+        else:
+            out += "".join(one_of(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], 2))))
+    return out
+
+
+def test_licenses_gates_lose_nothing(spark):
+    """Texts drawn from each rule, against all rules without gate or keywords."""
+    r = random.Random(5)
+    known = [(rank, re.compile(regex)) for rank, _, _, regex, _ in licenses.rules()]
+    drawn = sorted({one_of(re._parser.parse(regex), r).strip() for _, _, _, regex, _ in licenses.rules() for _ in range(8)})
+    names = ["GNU Library General Public License", "CreativeML OpenRAIL-M license", "Open Data Commons Attribution License", "Do What The Fuck You Want To Public License", "It is never licensed under CC BY", "no longer released under a CC licence", "wtfpl, or some other Public License"]
+    df = spark.createDataFrame(list(enumerate(drawn + names)), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in licenses.scan(df.repartition(4)).collect()}
+    for n, text in enumerate(drawn + names):
+        x = f" {'  '.join(re.findall('[a-z0-9]+', text.lower()))} "
+        found = sorted((x[: m.start()].count(" ") // 2, -(x[: m.end()].count(" ") // 2 - 1), rank) for rank, regex in known for m in regex.finditer(x))
+        want, reach = [], -1
+        for first, last, rank in found:
+            if -last > reach:
+                want.append((first, -last, rank))
+            reach = max(reach, -last)
+        assert [tuple(d) for d in got[n]["detections"]] == want and (want or n >= len(drawn)), text
+    assert [(x["labels"], x["score"]) for x in (got[len(drawn) + i] for i in range(len(names)))] == [("lgpl", 0.8), ("openrail", 0.8), ("odbl", 0.8), ("wtfpl", 0.8), ("cc-by", 0.5), ("", 0.0), ("", 0.0)]
+
+
 # --- 2 and 7 vectors
 
 VECTORS = "vec_id long, embedding array<float>, label int, score double, rank int"
