@@ -18,6 +18,7 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,8 +49,33 @@ SAMPLE = 8192
 #: the texts that it occurs in are toxic.
 STEM, STEM_TEXTS, STEM_PART, STEM_SHARE = range(4, 8), 5, 0.02, 0.85
 WORD_BYTES = bytes(c if c > 127 or chr(c) in "0123456789@$abcdefghijklmnopqrstuvwxyz" else ord(chr(c).lower()) if 65 <= c <= 90 else 32 for c in range(256))
-TOKEN = re.compile(rb"[0-9@$a-z\x80-\xbf\xc3-\xff]+|\"|\xe2\x80[\x9c\x9d\x9e]|\xc2[\xab\xbb]", re.I)
-QUOTES = frozenset((b'"', b"\xe2\x80\x9c", b"\xe2\x80\x9d", b"\xe2\x80\x9e", b"\xc2\xab", b"\xc2\xbb"))
+TOKEN = re.compile(rb"[0-9@$a-z\x80-\xff]+|\"", re.I)
+QUOTE = b'"'
+QUOTES = "\u201c\u201d\u201e\u00ab\u00bb"
+
+
+#: Characters that may be such marks; neither ASCII nor Latin letters are looked up one by one.
+UNUSUAL = re.compile("[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
+BETWEEN = frozenset("Pc Pd Pe Pf Pi Po Ps Sc Sk Sm So Zl Zp Zs Cc Cf".split())
+
+
+class Separators(dict[str, str]):
+    """What a character becomes: quotes are ASCII ones, punctuation, symbols, spaces and what else
+    stands unseen between words are blanks (not the soft hyphen and the joiners inside words)."""
+
+    def __missing__(self, c: str) -> str:
+        between = unicodedata.category(c) in BETWEEN and c not in "\u00ad\u200c\u200d" or "\ufe00" <= c <= "\ufe0f"
+        out = self[c] = '"' if c in QUOTES else " " if between else c
+        return out
+
+
+SEPARATORS = Separators()
+
+
+def separated(raw: bytes) -> bytes:
+    if raw.isascii():
+        return raw
+    return UNUSUAL.sub(lambda m: SEPARATORS[m[0]], raw.decode(errors="surrogateescape")).encode(errors="surrogateescape")
 
 
 class Automaton:
@@ -137,7 +163,7 @@ N_FEATURES = 3 * len(set(LEXICON)) + 7
 
 def matches(raw: bytes, stems: tuple[str, ...] = ()) -> list[tuple[int, int, bool, bool]]:
     """(edits, term, quoted, addressed) of each match in a text."""
-    a = automaton(stems)
+    a, raw = automaton(stems), separated(raw)
     hits = {w: m for w in set(raw.translate(WORD_BYTES).split()) if (m := a.match(w))}
     if not hits:
         return []
@@ -146,7 +172,7 @@ def matches(raw: bytes, stems: tuple[str, ...] = ()) -> list[tuple[int, int, boo
     for i, t in enumerate(tokens):
         if t in hits:
             before, after = tokens[max(0, i - WINDOW) : i], tokens[i + 1 : i + 1 + WINDOW]
-            quoted = (not QUOTES.isdisjoint(before) and not QUOTES.isdisjoint(after)) or not MENTION.isdisjoint(before)
+            quoted = (QUOTE in before and QUOTE in after) or not MENTION.isdisjoint(before)
             out.append((*hits[t], quoted, not ADDRESS.isdisjoint(before + after)))
     return out
 
@@ -207,7 +233,7 @@ class Model:
 
 
 def beginnings(raw: bytes) -> set[str]:
-    words = {w.decode(errors="replace") for w in raw.translate(WORD_BYTES).split()}
+    words = {w.decode(errors="replace") for w in separated(raw).translate(WORD_BYTES).split()}
     return {w[:n] for w in words for n in STEM if len(w) >= n}
 
 

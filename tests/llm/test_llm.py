@@ -494,6 +494,16 @@ def test_quotation():
     assert [m[2] for m in quoted] == [True] and [(m[0], m[2], m[3]) for m in plain] == [(1, False, True)]
 
 
+def test_toxicity_words_end_at_marks_beyond_ascii():
+    for text, quoted in [
+        ("¡Idiota!", False), ("such an idiot…", False), ("you—moron—you", False), ("bel\u00a0idiot\u202f!", False), ("l’idiot", False), ("idiot😡", False), ("\u200bidiot\u2028", False),
+        ("“idiot”", True), ("er ist „Trottel“", True), ("un «idiot»", True), ("un «\u00a0idiot\u00a0»", True), ("a “real idiot” here", True),
+    ]:
+        assert [(m[0], m[2]) for m in toxicity.matches(text.encode())] == [(0, quoted)], text
+    assert toxicity.matches("an été naïve ligne, œuvre Größe".encode()) == [] and toxicity.matches(b"\xff\xed\xa0\x80 idiot") != []
+    assert toxicity.beginnings("«vejuab»".encode()) == {"veju", "vejua", "vejuab"}
+
+
 def test_toxicity_learns_and_holds_out(spark, odd, empty):
     r = random.Random(6)
     rows = []
