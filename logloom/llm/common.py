@@ -4,25 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+#: What a task unpacks into Python objects at a time, in bytes.
+SLICE_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a folder of our own only where none is set."""
+    """The folder in spark.checkpoint.dir. Where none is set, a temporary folder of this machine
+    serves as long as the executors are on it too (master `local`); a cluster must name one."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not where:
         checkpoint = sc._jsc.sc().getCheckpointDir()
         if checkpoint.isDefined():
             where = checkpoint.get()
-        else:
+        elif sc.master == "local" or sc.master.startswith("local["):
             where = "file://" + tempfile.mkdtemp(prefix="logloom-")
             sc.setCheckpointDir(where)
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return where.rstrip("/")
 
 
@@ -33,3 +42,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstaged(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most `limit` bytes of a text or binary column, a row at least."""
+    at, size, lengths = 0, 0, pc.binary_length(batch.column(column)).to_pylist()
+    for n, length in enumerate(lengths):
+        if size + (length or 0) > limit and n > at:
+            yield batch.slice(at, n - at)
+            at, size = n, 0
+        size += length or 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
