@@ -225,7 +225,7 @@ def test_bpe_like_the_library(spark, texts, odd, empty):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     both = texts.unionByName(odd)
     want = sorted((r["doc_id"] or 0, library.encode_ordinary(r["text"] or "")) for r in both.collect())
-    for options in ({}, {"chunk": 16, "overlap": 5, "long_chars": 40}, {"chunk": 64, "overlap": 20, "long_chars": 1 << 20}):
+    for options in ({}, {"chunk": 16, "overlap": 5, "long_chars": 40, "part": 50}, {"chunk": 64, "overlap": 20, "part": 90, "long_chars": 1 << 20}):
         got = sorted((r["doc_id"] or 0, list(r["ids"]), r["ids_sha256"], r["decoded_sha256"], r["n_tokens"]) for r in bpe.encode(both, with_ids=True, **options).collect())
         assert [g[:2] for g in got] == want
         for _, ids, a, b, n in got:
@@ -234,11 +234,34 @@ def test_bpe_like_the_library(spark, texts, odd, empty):
 
 
 def test_bpe_stitching():
-    r = random.Random(4)
-    for _ in range(400):
-        t = "".join(r.choice(["'ll", "'s", "'", "l", " ", "  ", "\n", "a", "Ab", "1", "é", "!!", "日本", "\x1c"]) for _ in range(r.randint(0, 150)))
+    r, joined = random.Random(4), 0
+    for _ in range(1500):
+        t = "".join(r.choice(["'ll", "'s", "'", "l", " ", "  ", "\n", "a", "Ab", "1", "é", "!!", "日本", "\x1c", "word " * 4, "x" * 30]) for _ in range(r.randint(0, 150)))
         chunk = r.randint(8, 60)
-        assert bpe.split(t, chunk, r.randint(4, chunk - 1)) == bpe.splitter().findall(t)
+        got, n = bpe.split(t, chunk, r.randint(4, chunk - 1))
+        assert got == bpe.splitter().findall(t)
+        joined += n
+    assert joined > 10_000
+    # an ordinary text of the default chunks is stitched at every overlap
+    t = "some words, and some more of them; " * 100
+    assert bpe.split(t)[1] == len(bpe.chunk_starts(len(t), bpe.CHUNK, bpe.OVERLAP)) - 1 > 5
+    # pieces longer than chunks
+    for t in ("x" * 300_000, " " * 100_000 + "y", ("z" * 5000 + " ") * 20, "\n" * 5000 + "end"):
+        assert bpe.split(t)[0] == bpe.splitter().findall(t)
+
+
+def test_bpe_merges_like_the_library():
+    import public_tokenizers
+    import tiktoken
+
+    c, r = bpe.Coder(bpe.RANKS), random.Random(8)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=c.ranks, special_tokens={})
+    for _ in range(3000):
+        piece = "".join(r.choice(["in", "tion", "e", "ß", "日", "zz", "qu", "ab", "é", "x"]) for _ in range(r.randint(1, 60)))
+        assert c.merge(piece.encode()) == c.merge_long(piece.encode()) == library._encode_single_piece(piece) or c.ranks.get(piece.encode()) is not None, piece
+    for piece in ("x" * 20_000, "ab" * 5000):
+        assert c.merge(piece.encode()) == library._encode_single_piece(piece)
+    assert len(c) == 0 and c["word"] and len(c) == 1
 
 
 # --- 5 pii
