@@ -287,10 +287,13 @@ def test_pii_patterns():
 
 @pytest.fixture(scope="module")
 def tagger():
-    t = pii.Tagger()
-    losses = t.fit(*pii.labelled(pii.made(1, 800)), steps=120, batch=32)
+    """The production model."""
+    return pii.trained()
+
+
+def test_pii_training_lowers_the_loss():
+    losses = pii.Tagger().fit(*pii.labelled(pii.made(1, 800)), steps=120, batch=32)
     assert np.mean(losses[-10:]) < 0.2 * losses[0]
-    return t
 
 
 def test_pii_gradient():
@@ -342,6 +345,70 @@ def test_pii_spans_over_several_windows():
         assert (4, a, a + n) in pii.tagged([text], Marks())[0]
 
 
+def test_pii_best_paths():
+    """Viterbi against all paths of short inputs."""
+    from itertools import product
+
+    t, g = pii.Tagger(hidden=3), np.random.default_rng(4)
+    t.p["trans"] = g.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+    x = g.integers(0, pii.CLASSES, (3, 4)).astype(np.int8)
+    e, _ = t.emissions(x)
+    paths = np.array(list(product(range(pii.TAGS), repeat=4)))
+    for row, tags in enumerate(t.decode(x)):
+        scores = e[np.arange(4), row][np.arange(4)[None, :], paths].sum(axis=1) + t.p["trans"][paths[:, :-1], paths[:, 1:]].sum(axis=1)
+        assert tuple(paths[scores.argmax()]) == tuple(tags)
+
+
+def test_pii_windows_without_triggers_add_nothing(tagger):
+    r = random.Random(6)
+    texts = [" ".join(r.choice(["word", "Some", "Mr. Xaver Yon", "call 030/12345678", "Ort", "rue de Lon 12", "a [at] b [dot] org", "of", "the", "x" * r.randint(1, 90)]) for _ in range(r.randint(1, 120))) for _ in range(40)]
+    assert pii.tagged(texts, tagger) == pii.tagged(texts, tagger, every=True)
+
+
+SAID = [
+    ("email", ["jane_doe[at]mailbox[dot]org", "peter.b (at) verein (dot) de"]), ("ip", ["2001:db8:85a3::8a2e:370:7334", "fe80::1ff:fe23:4567:890a"]),
+    ("card", ["3714 496353 98431", "4111.1111.1111.1111", "5500/0000/0000/0004"]), ("phone", ["(555) 123-4567", "212-555-0187", "0049 170 5550123", "030/5550 1234"]),
+    ("account", ["078-05-1120", "DE89 3704 0044 0532 0130 00", "FR7630006000011234567890189"]), ("name", ["Anna Becker", "Jonathan R. Harker", "Ludwig van Hoven"]),
+    ("address", ["221 Baker Street", "Lindenstraße 19, 10969 Berlin", "12 rue de Rivoli"]),
+]
+FRAMES = ["Please write to {} if anything is unclear.", "Wir haben {} gestern notiert, danke.", "contact: {}\nthen we will see", "My details are {} and nothing else matters here", "« {} » est la bonne réponse"]
+NOT_PERSONAL = [
+    "The order 12345678 shipped", "DOI 10.1000/182", "ISBN 978-3-16-148410-0", "ISBN 0-306-40615-2", "see doi:10.1145/3292500 for it", "version 10.2.33 of it", "v2.0.14-beta", "id 550e8400-e29b-41d4-a716-446655440000", "2024-01-02T03:04:05Z", "on 12.04.2021 at 10:45:00", "paid $12,345.67 in 2019",
+    "pages 120-134 of 1999", "invoice No. 4482910", "commit 9fceb02d0ae598e95dc970b74767f19372d61af8", "the number 4111111111111112 fails", "ratio 3.14159 of 2.71828", "chapter 12, section 3", "a street with no name", "CC BY-SA 4.0", "part 1234-5678-90X", "the road at noon (at last)", "Los Angeles and New York", "items 1, 2, 3, 4 and 5",
+]
+
+
+def test_pii_precision_and_recall_by_span():
+    """On sentences of other makers than the training's."""
+    tagger, r = pii.trained(), random.Random(3)
+    hit = told = true = 0
+    for kind, values in SAID:
+        for value in values:
+            for frame in FRAMES:
+                shown = r.choice(["Mrs. ", "Dr. ", "Herr "]) + value if kind == "name" else value
+                text = frame.format(shown)
+                spans = [(pii.KINDS[k], text[a:b]) for k, a, b in pii.all_spans([text], tagger)[0][1]]
+                hit += (kind, value) in spans
+                told += len(spans)
+                true += 1
+    print(f"recall {hit}/{true}, precision {hit}/{told}")
+    assert hit >= 0.85 * true and hit >= 0.85 * told
+    assert [t for t in NOT_PERSONAL if pii.all_spans([t], tagger)[0][1]] == []
+    assert [t for t in NOT_PERSONAL if pii.all_spans([f"It was {t}, as they say. " * 4], tagger)[0][1]] == []
+
+
+def test_pii_long_texts_full_of_matches(tagger):
+    import time
+
+    took = []
+    for n in (2000, 8000):
+        began = time.process_time()
+        base, spans = pii.all_spans(["a1@b.co, 030/5550 1234; " * n], tagger)[0]
+        took.append(time.process_time() - began)
+        assert len(base) == n <= len(spans)
+    assert took[1] < 12 * took[0]
+
+
 def test_pii_rows(texts, odd, empty, tagger):
     both = texts.unionByName(odd)
     text = {(r["doc_id"], r["text"]) for r in both.collect()}
