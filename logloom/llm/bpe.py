@@ -23,7 +23,7 @@ import heapq
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,11 @@ CHUNK, OVERLAP, LONG, PART = 512, 32, 1 << 20, 1 << 16
 #: A boundary is sure if this many characters beyond it were seen: the pattern's contractions
 #: look at two characters after the first, all else at one.
 AHEAD = 3
-#: Pieces of up to so many characters are remembered with their ids, so many of them at most.
-KNOWN_CHARS, KNOWN = 32, 1 << 15
+#: Pieces of up to so many characters are remembered with their ids: the latest, so many of them
+#: at least and twice as many at most.
+KNOWN_CHARS, KNOWN = 32, 1 << 16
+#: The rank of a pair that is no token.
+NONE = 1 << 40
 #: Longer pieces, in bytes, are merged by a heap.
 HEAP = 48
 
@@ -105,11 +108,12 @@ class Coder(dict):
     """Encodes pieces by the ranks of a file, and decodes ids.
 
     As a mapping: a short piece -> (its ids as text, their number, the decoded bytes), worked out
-    when first asked for; `KNOWN` of them are kept at most.
+    when first asked for, and kept until `KNOWN` later ones have come twice over.
     """
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[str, tuple[str, int, bytes]] = {}
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes = {v: k for k, v in self.ranks.items()}
@@ -122,13 +126,16 @@ class Coder(dict):
             return [whole]
         if len(raw) > HEAP:
             return self.merge_long(raw)
-        parts = [raw[i : i + 1] for i in range(len(raw))]
-        while True:
-            pairs = [(r, i) for i in range(len(parts) - 1) if (r := rank(parts[i] + parts[i + 1])) is not None]
-            if not pairs:
-                return [self.ranks[p] for p in parts]
-            i = min(pairs)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        cuts = list(range(len(raw) + 1))
+        pairs = [rank(raw[i : i + 2], NONE) for i in range(len(raw) - 1)]
+        while pairs and (low := min(pairs)) < NONE:
+            i = pairs.index(low)
+            del cuts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(raw[cuts[i] : cuts[i + 2]], NONE)
+            if i:
+                pairs[i - 1] = rank(raw[cuts[i - 1] : cuts[i + 1]], NONE)
+        return [self.ranks[raw[a:b]] for a, b in pairwise(cuts)]
 
     def merge_long(self, raw: bytes) -> list[int]:
         """The same with a heap of pairs; `after[i]` is where the part at i ends, `before[i]`
@@ -160,10 +167,13 @@ class Coder(dict):
         return b"".join(map(self.bytes.__getitem__, ids))
 
     def __missing__(self, piece: str) -> tuple[str, int, bytes]:
-        ids = self.merge(piece.encode())
-        out = ",".join(map(str, ids)), len(ids), self.decode(ids)
+        out = self.older.get(piece)
+        if out is None:
+            ids = self.merge(piece.encode())
+            out = ",".join(map(str, ids)), len(ids), self.decode(ids)
         if len(piece) <= KNOWN_CHARS:
             if len(self) >= KNOWN:
+                self.older = dict(self)
                 self.clear()
             self[piece] = out
         return out

@@ -49,7 +49,7 @@ COMMON_MOST = 1 << 20
 #: One more shared prefix shingle is asked for with so many shingles of the larger set.
 SHARED_STEP = 64
 #: Longer lists than this aren't counted pair by pair.
-LONG_LIST = 24
+LONG_LIST = 96
 #: A block of a cell holds about so many shingles and documents; a pivot's rows are dealt out
 #: in blocks of so many documents.
 BLOCK_TOKENS, BLOCK_DOCS = 1 << 18, 1024
