@@ -7,7 +7,8 @@ words. An interval inside another (or equal to one of a rule that stands earlier
 so that a full notice outranks the names it holds, and a denial outranks the notice it denies.
 
 Rows: a null text counts as empty; a text without words or without matches has no labels (empty
-strings), score 0 and null places. Repeated rows and null ids are rows like any other. An empty
+strings), score 0 and null places. A very long text takes time in proportion to its length and
+matches. Repeated rows and null ids are rows like any other. An empty
 table gives no rows.
 """
 
@@ -19,6 +20,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.folds import let, running, sums_before
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The phrases whose places are counted, and their labels.
@@ -145,24 +148,14 @@ def spaces(x: Column) -> Column:
 
 def intervals(text: Column, regex: Column, rank: Column) -> Column:
     """Words from first to last of each match, in order: array<struct<first, last, rank>>."""
-    empty = F.array().cast("array<struct<first:int,last:int,rank:int>>")
     pairs = F.arrays_zip(F.split(text, regex, -1).alias("before"), F.regexp_extract_all(text, regex, F.lit(0)).alias("found"))
-    walked = F.aggregate(
-        F.filter(pairs, lambda p: p["found"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + spaces(p["before"]) + spaces(p["found"])).alias("at"),
-            F.array_append(
-                a["out"],
-                F.struct(
-                    ((a["at"] + spaces(p["before"])) / 2).cast("int").alias("first"),
-                    ((a["at"] + spaces(p["before"]) + spaces(p["found"])) / 2 - 1).cast("int").alias("last"),
-                    rank.cast("int").alias("rank"),
-                ),
-            ).alias("out"),
-        ),
-    )
-    return walked["out"]
+    sized = F.transform(F.filter(pairs, lambda p: p["found"].isNotNull()), lambda p: F.struct(spaces(p["before"]).alias("before"), spaces(p["found"]).alias("found")))
+
+    def place(p: Column, at: Column) -> Column:
+        first = at + p["before"]
+        return F.struct((first / 2).cast("int").alias("first"), ((first + p["found"]) / 2 - 1).cast("int").alias("last"), rank.cast("int").alias("rank"))
+
+    return let(sized, lambda s: F.zip_with(s, sums_before(F.transform(s, lambda p: p["before"] + p["found"])), place))
 
 
 def detections(text: Column) -> Column:
@@ -175,15 +168,10 @@ def detections(text: Column) -> Column:
     present = F.flatten(F.transform(F.filter(known, lambda k: F.contains(text, k["key"])), lambda k: k["rules"]))
     found = F.flatten(F.transform(present, lambda r: intervals(text, r["regex"], r["rank"])))
     order = F.array_sort(F.transform(found, lambda d: F.struct(d["first"].alias("first"), (-d["last"]).alias("minus_last"), d["rank"].alias("rank"))))
-    kept = F.aggregate(
-        order,
-        F.struct(F.lit(-1).alias("reach"), F.array().cast("array<struct<first:int,last:int,rank:int>>").alias("out")),
-        lambda a, d: F.struct(
-            F.greatest(a["reach"], -d["minus_last"]).alias("reach"),
-            F.when(-d["minus_last"] > a["reach"], F.array_append(a["out"], F.struct(d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["rank"].alias("rank")))).otherwise(a["out"]).alias("out"),
-        ),
-    )
-    return kept["out"]
+    # inside another: what comes before it in this order reaches at least as far
+    reach = lambda o: running(F.transform(o, lambda d: -d["minus_last"]), F.lit(-1), F.greatest, "int")
+    marked = let(order, lambda o: F.zip_with(o, reach(o), lambda d, r: F.struct(d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["rank"].alias("rank"), r.alias("reach"))))
+    return F.transform(F.filter(marked, lambda d: d["last"] > d["reach"]), lambda d: F.struct(d["first"].alias("first"), d["last"].alias("last"), d["rank"].alias("rank")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
