@@ -8,8 +8,10 @@ and the cells' lists are merged.
 Rows: a null vector, or one with a null or non-finite component, or a null id takes no part. An
 empty or zero vector takes part with score 0. Shorter vectors count as padded with zeros. Rows
 that share an id are candidates each; as queries they are one, with the smallest of the vectors,
-and none of them is a candidate of their own id. Components beyond 2**27 after scaling are cut
-off there so that no sum can overflow. Ties go to the smaller id. An empty table gives no rows.
+and none of them is a candidate of their own id. Components of any size are exact: a cell whose
+sums could leave 64 bits is summed in whole numbers of any length, and a score among the k best
+that no long holds is an error, never another score. Ties go to the smaller id. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 
 from logloom.llm import grid
 
-LIMIT = float(2**27)
 ROWS_AT_ONCE = 32
 
 
@@ -56,21 +57,30 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     """The k rows of highest integer inner product for each row where `is_query` holds:
     query_id long, rank int from 1, vec_id long, score long."""
     rows = grid.usable(df, id_col, vector_col)
-    # floor() of a double beyond the range of long raises; such values are cut off first
-    whole = F.transform("v", lambda x: F.floor(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), x * scale))).cast("double"))
+    # doubles from 2**52 on are whole, and floor() would not take those beyond a long
+    whole = F.transform("v", lambda x: F.when(F.abs(x * scale) < float(1 << 52), F.floor(x * scale).cast("double")).otherwise(x * scale))
     queries = grid.one_row_each(grid.usable(df.where(is_query), id_col, vector_col))
 
     def kernel(qi: np.ndarray, qm: np.ndarray, ci: np.ndarray, cm: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         bound = max(1.0, np.abs(qm).max(initial=0)) * max(1.0, np.abs(cm).max(initial=0)) * max(1, qm.shape[1])
-        kind = np.int32 if bound < 2**31 else np.int64
-        q, lists = qm.astype(kind), postings(cm.astype(kind))
+        if bound < 2**63:
+            kind = np.int32 if bound < 2**31 else np.int64
+            q, c = qm.astype(kind), cm.astype(kind)
+        else:
+            q, c = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (qm, cm))
+        lists = postings(c)
         for at in range(0, len(q), ROWS_AT_ONCE):
             scores = accumulate(q[at : at + ROWS_AT_ONCE], lists, len(ci))
             for i, row in enumerate(scores):
                 other = np.flatnonzero(ci != qi[at + i])
-                s = row[other].astype(np.int64)
-                best = grid.top(s, ci[other], k)
-                yield int(qi[at + i]), ci[other][best], s[best]
+                ids, s = ci[other], row[other]
+                if s.dtype == object:
+                    best = np.array(sorted(range(len(s)), key=lambda n: (-s[n], ids[n]))[:k], np.int64)
+                    if any(abs(x) >= 2**63 for x in s[best]):
+                        raise OverflowError(f"a score of query {int(qi[at + i])} doesn't fit a long")
+                else:
+                    best = grid.top(s, ids, k)
+                yield int(qi[at + i]), ids[best], s[best].astype(np.int64)
 
     return grid.search(queries.withColumn("v", whole), rows.withColumn("v", whole), kernel, k, "long", query_block, candidate_block)
 

@@ -155,8 +155,17 @@ def test_topk_is_exact(vectors):
 
 
 def test_topk_large_values_and_few_rows(spark):
-    df = spark.createDataFrame([(20, [1e30, 1.0]), (21, [1e30, -1e30])], "vec_id long, embedding array<double>")
-    assert result(topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0)) == {20: [((1 << 54) - 64 * (1 << 27), 21)]}
+    at = F.col("vec_id") % 20 == 0
+    rows = [(20, [3e6, 1.0]), (21, [3e6, -1e9]), (22, [2.5e6, 7.0]), (40, [-3e12, 0.0]), (41, [1e3, 1e12]), (42, [0.5, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = lambda v: [int(np.floor(64 * x)) for x in v]
+    want = brute(rows, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)), whole)
+    fits = lambda found: all(abs(s) < 2**63 for s, _ in found)
+    assert fits(want[20][:4]) and fits(want[40][:1]) and not fits(want[20]) and not fits(want[40])
+    assert result(topk.top_k(df, "vec_id", "embedding", F.col("vec_id") == 20, k=4)) == {20: want[20][:4]}
+    assert result(topk.top_k(df, "vec_id", "embedding", F.col("vec_id") == 40, k=1)) == {40: want[40][:1]}
+    with pytest.raises(Exception, match="doesn't fit a long"):
+        topk.top_k(df, "vec_id", "embedding", at).collect()
     assert topk.top_k(df.limit(0), "vec_id", "embedding", F.lit(True)).count() == 0
 
 
@@ -551,6 +560,51 @@ def test_secrets(spark, odd, empty):
     assert secret_scan.scan(empty, model).count() == 0
 
 
+IDENTIFIERS = """getUserNameFromRequestOrDefaultValue application/x-www-form-urlencoded /usr/local/lib/python3.11/site-packages
+MAX_CONNECTION_POOL_SIZE_LIMIT org/apache/spark/sql/execution/datasources continuous-integration-pipeline-status AbstractSingletonProxyFactoryBean
+internationalization_and_localization_settings /api/v2/users/settings/notifications/preferences com-example-project-module-submodule
+HTTPSConnectionPoolManagerFactory kubernetes-deployment-configuration-file 2024-03-15-release-notes-and-changes src/main/resources/templates/header_footer_layout
+DonaudampfschifffahrtsgesellschaftsKapitaen anticonstitutionnellement_et_autres_mots ==================== -------------------------------- ////////////////////////
+12345678901234567890123 SELECT_COUNT_FROM_TABLE_WHERE_CONDITION user-profile-picture-upload-handler-v2 thisIsAVeryLongVariableNameInCamelCase""".split()
+
+
+def test_secrets_in_paths_and_queries(spark):
+    """Held-out keys, alone and within ordinary text, and ordinary identifiers; the models are
+    those that the query learns on sf0.001."""
+    model = secret_scan.ratios(secret_scan.samples(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    r = random.Random(3)
+    keys = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n)) for n in (20, 24, 32, 40, 64) for _ in range(20)]
+    frames = ["{}", "/oauth/callback/session/renew/{}", "https://host/long_parameter_name={}&next=page", "config/production/{}/value"]
+    rows = [(i, frames[i % 4].format(k)) for i, k in enumerate(keys)] + [(1000 + i, f"the {x} of") for i, x in enumerate(IDENTIFIERS)]
+    got = {x["doc_id"]: x["spans"] for x in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), model).collect()}
+    spans = {i: [tuple(map(int, x.split(":")[1:])) for x in v.split(",") if x.startswith("random")] for i, v in got.items()}
+    held = sum(any(a <= t.index(k) and b >= t.index(k) + len(k) for a, b in spans[i]) for (i, t), k in zip(rows, keys, strict=False))
+    exact = sum((t.index(k), t.index(k) + len(k)) in spans[i] for (i, t), k in zip(rows, keys, strict=False))
+    false = [x for i, x in enumerate(IDENTIFIERS) if got[1000 + i]]
+    print(f"keys found whole {held}/{len(keys)}, of these without anything more {exact}, false {false}")
+    assert held >= 0.9 * len(keys) and exact >= 0.6 * len(keys) and len(false) <= 1
+
+
+def test_folds_are_linear_and_right(spark):
+    from logloom.llm import folds
+
+    r = random.Random(5)
+    rows = [(i, [r.randint(-9, 9) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 255, 256, 257, 1000])]
+    df = spark.createDataFrame(rows, "i int, v array<int>")
+    low = folds.running(F.col("v"), F.lit(1 << 30), F.least, "int")
+    for x in df.select("v", folds.sums_before(F.col("v")).alias("s"), low.alias("m")).collect():
+        assert x["s"] == [sum(x["v"][:k]) for k in range(len(x["v"]))] and x["m"] == [min(x["v"][:k], default=1 << 30) for k in range(len(x["v"]))]
+
+
+def test_scans_of_long_texts_full_of_matches(spark):
+    text = "the mit license and gnu general public license, token=abcdef12 xK9fQ2mZ7pL4wT8vB3nR6; "
+    df = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(text), 10_000).alias("text"))
+    x = licenses.scan(df).first()
+    assert (x["n_base"], x["first_word"], x["last_word"], len(x["detections"])) == (20_000, 1, 9999 * 11 + 4, 20_000)
+    y = secret_scan.scan(df, [0] * len(secret_scan.ALPHABET) ** 2).first()
+    assert y["n_assign"] == 10_000 and y["spans"].endswith(f"assign:{9999 * len(text) + 49}:{9999 * len(text) + 63}")
+
+
 # --- 9 toxicity
 
 
