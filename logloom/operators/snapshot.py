@@ -9,14 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIGIT_PAD = 20
+#: Digits in which the length of a run of digits is written.
+LENGTH_DIGITS = 10
 
 
 def natural_key(name: Column) -> Column:
-    """A key whose order is that of names with numbers compared by value: each run of digits is
-    padded with zeros and marked, so that at the first difference the longer run wins."""
+    """A key whose order is that of names with numbers compared by value: each run of digits
+    loses its leading zeros and has its length put in front, so that the longer number wins."""
     runs = F.regexp_extract_all(name, F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^[0-9]"), F.lpad(r, DIGIT_PAD, "0")).otherwise(r)), "")
+
+    def keyed(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+(?=[0-9])", "")
+        return F.when(run.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), LENGTH_DIGITS, "0"), digits)).otherwise(run)
+
+    return F.array_join(F.transform(runs, keyed), "")
 
 
 def ordered(files: DataFrame, newest_first: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from logloom.functions import converters, keys
 from logloom.operators import framing
 from logloom.plans.config import Config, Flow
 from logloom.sources import files
-from logloom.streaming import tail
+from logloom.streaming import sink, tail
 
 
 def records(rows: DataFrame, flow: Flow) -> DataFrame:
@@ -57,6 +57,11 @@ def stream(spark: SparkSession, flow: Flow) -> DataFrame:
     return records(rows, flow)
 
 
+def delivery(flow: Flow, sender: sink.Sender, results: str, attempts: int = 10) -> sink.Delivery:
+    """The flow's delivery: its batches, threads, backoff and log level."""
+    return sink.Delivery(sender, results, flow.max_buffer_size_records, flow.max_buffer_size_bytes, flow.sending_threads, attempts, flow.retry_initial_backoff_millis, flow.retry_max_backoff_millis, flow.log_level)
+
+
 def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False):
     """Start the flow's streaming query; a micro-batch is due at the age of a buffer."""
     writer = stream(spark, flow).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)

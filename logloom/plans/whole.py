@@ -1,4 +1,10 @@
-"""Files taken whole once they are stable: a poll at a time, its state a table of snapshots."""
+"""Files taken whole once they are stable: a poll at a time, its state a table of snapshots.
+
+A poll's snapshot is written first, then its files are copied and its notices written, then the
+originals are cleaned up. A file counts as sent only once the notices of its poll are there, so
+whatever step a process stops after, the next poll names what wasn't sent again; a copy that was
+made already is made again under the same key.
+"""
 
 from __future__ import annotations
 
@@ -15,22 +21,40 @@ from logloom.streaming import sink
 SNAPSHOT = "file_id string, path string, name string, size long, mtime_ms long, last_offset long, last_check_ms long"
 
 
+NOTICE = "file_id string, path string, data string, size long, mtime_ms long"
+
+
+def last_poll(spark: SparkSession, folder: str) -> int:
+    """The number of the newest poll whose table is whole, 0 without one."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    polls = sorted((int(n.removeprefix("poll=")) for n in names if n.startswith("poll=")), reverse=True)
+    return next((n for n in polls if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/poll={n}/_SUCCESS"))), 0)
+
+
+def uploads(state: str) -> str:
+    return f"{state.rstrip('/')}_uploads"
+
+
 def last_snapshot(spark: SparkSession, state: str) -> tuple[DataFrame, int]:
-    """The newest snapshot of a state folder and its number, which is 0 before the first."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        rows = spark.read.schema(f"{SNAPSHOT}, poll long").parquet(state)
-        n = rows.agg(F.max("poll")).first()[0]
-    except AnalysisException:
-        n = None
-    if n is None:
+    """The newest snapshot of a state folder and its number, which is 0 before the first. Files
+    whose notices were written have their offset at 0, those not sent at -1."""
+    n = last_poll(spark, state)
+    if not n:
         return spark.createDataFrame([], SNAPSHOT), 0
-    return rows.where(F.col("poll") == n).drop("poll"), n
+    rows = spark.read.schema(SNAPSHOT).parquet(f"{state}/poll={n}")
+    if last_poll(spark, uploads(state)) == n:
+        sent = spark.read.schema(NOTICE).parquet(f"{uploads(state)}/poll={n}").select("file_id", "size", "mtime_ms", F.lit(0).cast("long").alias("sent"))
+        rows = rows.join(sent, ["file_id", "size", "mtime_ms"], "left").withColumn("last_offset", F.coalesce("sent", "last_offset"))
+    return rows.select(*[c.split()[0] for c in SNAPSHOT.split(", ")]), n
 
 
 def poll(spark: SparkSession, flow: Flow, state: str, now_ms: int | None = None) -> DataFrame:
-    """The files (file_id, path, name, size) that have become stable since the last poll."""
+    """The files (file_id, path, name, size, mtime_ms) that are stable and weren't sent yet."""
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     old, n = last_snapshot(spark, state)
     recent = now_ms - 1000 * flow.ignore_not_updated_file_seconds if flow.ignore_not_updated_file_seconds >= 0 else None
@@ -39,8 +63,9 @@ def poll(spark: SparkSession, flow: Flow, state: str, now_ms: int | None = None)
     now = new.join(states, "file_id")
     # written before anything is sent: the states of one poll are what its files are taken by
     where = f"{state}/poll={n + 1}"
+    now = now.withColumn("last_offset", F.when(F.col("state") == "Upload", F.lit(-1).cast("long")).otherwise(F.col("last_offset")))
     now.select("file_id", "path", "name", "size", "mtime_ms", "last_offset", "last_check_ms", "state").write.mode("overwrite").parquet(where)
-    return spark.read.parquet(where).where("state = 'Upload'").select("file_id", "path", "name", "size")
+    return spark.read.parquet(where).where("state = 'Upload'").select("file_id", "path", "name", "size", "mtime_ms")
 
 
 def upload(spark: SparkSession, flow: Flow, state: str, target: str, now_ms: int | None = None, clean: bool = False) -> DataFrame:
@@ -48,12 +73,11 @@ def upload(spark: SparkSession, flow: Flow, state: str, target: str, now_ms: int
     `clean` the originals are deleted, moved or renamed as the flow says. The copies are made
     once, however often the result is read. A blank destination has no notices."""
     files = poll(spark, flow, state, now_ms)
-
-    def after(path: str) -> None:
-        sink.clean_up(path, delete=flow.delete_policy == "immediate", move_to=flow.file_move_to_dir, suffix=flow.file_suffix)
-
-    done = sink.copy_files(files, target, flow.dump_directory, flow.upload_full_path, after if clean else None)
-    where = f"{state.rstrip('/')}_uploads/poll={last_snapshot(spark, state)[1]}"
-    done.select("path", F.col("object_key").alias("data"), "size").write.mode("overwrite").parquet(where)
+    where = f"{uploads(state)}/poll={last_poll(spark, state)}"
+    done = sink.copy_files(files, target, flow.dump_directory, flow.upload_full_path)
+    done.select("file_id", "path", F.col("object_key").alias("data"), "size", "mtime_ms").write.mode("overwrite").parquet(where)
     notices = spark.read.parquet(where)
+    if clean:
+        sink.clean_all(notices, delete=flow.delete_policy == "immediate", move_to=flow.file_move_to_dir, suffix=flow.file_suffix)
+    notices = notices.select("path", "data", "size")
     return notices if flow.destination.strip() else notices.where(F.lit(False))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from logloom.operators import batching, delivery
 
@@ -130,11 +131,13 @@ def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_path: bool = False, after: Callable[[str], object] | None = None) -> DataFrame:
-    """Copy whole files (path) under their object keys: (path, object_key, size). The copy is
-    made under a name of the attempt and renamed; `after` is called with each copied path. A
-    task that is run again takes a file that is gone, but has been copied, as done."""
+    """Copy whole files (path) under their object keys: (path, object_key, size), and what else
+    the rows have. The copy is made under a name of the attempt and renamed; `after` is called
+    with each copied path. A task that is run again takes a file that is gone, but has been
+    copied, as done."""
     key = delivery.object_key(dump_directory, F.col("path") if full_path else F.element_at(F.split("path", "/"), -1))
-    rows = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path")).select("path", key.alias("object_key"))
+    more = [c for c in files.columns if c not in ("path", "size", "object_key")]
+    rows = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), *more).select("path", key.alias("object_key"), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -142,8 +145,8 @@ def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_pat
         import uuid
 
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
+            sizes = []
+            for r in batch.select(["path", "object_key"]).to_pylist():
                 to = os.path.join(target, r["object_key"])
                 os.makedirs(os.path.dirname(to), exist_ok=True)
                 if os.path.exists(r["path"]) or not os.path.exists(to):
@@ -152,10 +155,30 @@ def copy_files(files: DataFrame, target: str, dump_directory: str = "", full_pat
                     os.replace(part, to)
                     if after is not None:
                         after(r["path"])
-                out.append(r | {"size": os.path.getsize(to)})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("path", pa.string()), ("object_key", pa.string()), ("size", pa.int64())]))
+                sizes.append(os.path.getsize(to))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "size"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("size", LongType())]))
+
+
+def clean_all(sent: DataFrame, delete: bool = False, move_to: str = "", suffix: str = ".COMPLETED") -> None:
+    """Clean up delivered files (path, size, mtime_ms), each only if it is still as it was when
+    it was taken: one that was written to meanwhile stays, and is taken anew."""
 
-    return rows.mapInArrow(run, "path string, object_key string, size long")
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        for batch in rows:
+            for r in batch.to_pylist():
+                try:
+                    s = os.stat(r["path"])
+                except FileNotFoundError:
+                    continue
+                if (s.st_size, s.st_mtime_ns // 1_000_000) == (r["size"], r["mtime_ms"]):
+                    clean_up(r["path"], delete=delete, move_to=move_to, suffix=suffix)
+            yield batch
+
+    sent.select("path", "size", "mtime_ms").mapInArrow(run, "path string, size long, mtime_ms long").write.format("noop").mode("overwrite").save()
 
 
 def clean_up(path: str, file_id: str | None = None, delete: bool = False, move_to: str = "", suffix: str = ".COMPLETED") -> str | None:

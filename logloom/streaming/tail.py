@@ -81,7 +81,7 @@ class TailReader(DataSourceStreamReader):
                     continue
                 if os.path.isfile(path) and not 0 <= self.older < time.time() - s.st_mtime:
                     found[f"{s.st_dev}-{s.st_ino}"] = {"path": path, "size": s.st_size, "mtime": s.st_mtime}
-        return dict(sorted(found.items(), key=lambda x: (x[1]["mtime"], [int(p) if p.isdigit() else p for p in re.split(r"(\d+)", x[1]["path"])][1::2], x[1]["path"])))
+        return dict(sorted(found.items(), key=lambda x: (x[1]["mtime"], [int(p) if n % 2 else p for n, p in enumerate(re.split(r"([0-9]+)", x[1]["path"]))], x[1]["path"])))
 
     def state(self, f: dict, limit_from: int | None = None, held: bool = False) -> dict:
         digest, n = header(f["path"], self.header_bytes)

@@ -181,3 +181,64 @@ def test_whole_files_when_stable(spark, tmp_path):
     assert names(9_000, clean=True) == ["d/b.log"]
     assert (logs / "b.log.COMPLETED").exists() and (tmp_path / "store/d/b.log").read_text() == "y"
     assert names(20_000) == []
+
+
+def test_whole_files_survive_a_stop_between_any_two_steps(spark, tmp_path, monkeypatch):
+    from logloom.plans import whole
+
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("x")
+    f = flow({"filePattern": f"{logs}/*", "stream": "s", "isFileAppendable": False, "maxFileCheckingMillis": 1000, "deletePolicy": "immediate"})
+    state, target = f"file://{tmp_path}/state", str(tmp_path / "store")
+    names = lambda now, **k: sorted(r["data"] for r in whole.upload(spark, f, state, target, now, **k).collect())
+    assert names(1_000) == []
+    # after the snapshot, before the copy
+    assert [r["name"] for r in whole.poll(spark, f, state, 3_000).collect()] == ["a.log"]
+    assert [r["name"] for r in whole.poll(spark, f, state, 4_000).collect()] == ["a.log"]
+    # after the copy, before the notices
+    with monkeypatch.context() as m:
+        m.setattr(whole, "uploads", lambda state: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            names(5_000)
+    sink.copy_files(spark.createDataFrame([(str(logs / "a.log"),)], "path string"), target).collect()
+    # after the notices, before the clean-up
+    with monkeypatch.context() as m:
+        m.setattr(sink, "clean_all", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            names(6_000, clean=True)
+    assert (logs / "a.log").exists() and names(7_000) == [] and (tmp_path / "store/a.log").read_text() == "x"
+    # written to again: taken anew, and cleaned up only as it was taken
+    (logs / "a.log").write_text("xyz")
+    assert names(8_000) == [] and names(10_000, clean=True) == ["a.log"]
+    assert not (logs / "a.log").exists() and (tmp_path / "store/a.log").read_text() == "xyz"
+
+
+def test_clean_up_leaves_what_changed(spark, tmp_path):
+    a = tmp_path / "a.log"
+    a.write_text("more than was taken")
+    sink.clean_all(spark.createDataFrame([(str(a), 3, 1)], "path string, size long, mtime_ms long"), delete=True)
+    assert a.exists()
+
+
+def test_delivery_takes_the_flows_options():
+    f = flow({"filePattern": "/a", "stream": "s", "maxBufferSizeRecords": 7, "maxBufferSizeBytes": 99, "sendingThreadSize": 3, "retryInitialBackoffMillis": 5, "retryMaxBackoffMillis": 50, "resultLogLevel": "OFF"})
+    d = flows.delivery(f, lambda rs: [None] * len(rs), "/r")
+    assert (d.max_records, d.max_bytes, d.threads, d.first_ms, d.most_ms, d.log_level) == (7, 99, 3, 5, 50, None)
+
+
+def test_tailing_order_compares_names_before_numbers(tmp_path):
+    for name in ("b1.log", "a10.log", "a2.log"):
+        (tmp_path / name).write_text("x\n")
+        os.utime(tmp_path / name, (5, 5))
+    assert [os.path.basename(f["path"]) for f in reader(tmp_path / "*").files().values()] == ["a2.log", "a10.log", "b1.log"]
+
+
+def test_natural_order_of_long_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from logloom.operators.snapshot import natural_key
+
+    names = ["f9", "f10", "f" + "9" * 25, "f1" + "0" * 25, "f0" * 1 + "10x", "e99"]
+    got = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(natural_key(F.col("n")), "n").collect()]
+    assert got == ["e99", "f9", "f10", "f010x", "f" + "9" * 25, "f1" + "0" * 25]
