@@ -37,7 +37,7 @@ from logloom.llm.common import slices
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Characters of a chunk, of what it shares with the next, of a text that is dealt over tasks,
 #: and of the rows that it is dealt in.
-CHUNK, OVERLAP, LONG, PART = 512, 32, 1 << 20, 1 << 16
+CHUNK, OVERLAP, LONG, PART = 1024, 32, 1 << 20, 1 << 16
 #: A boundary is sure if this many characters beyond it were seen: the pattern's contractions
 #: look at two characters after the first, all else at one.
 AHEAD = 3

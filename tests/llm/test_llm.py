@@ -252,7 +252,7 @@ def test_bpe_stitching():
         joined += n
     assert joined > 10_000
     # an ordinary text of the default chunks is stitched at every overlap
-    t = "some words, and some more of them; " * 100
+    t = "some words, and some more of them; " * 200
     assert bpe.split(t)[1] == len(bpe.chunk_starts(len(t), bpe.CHUNK, bpe.OVERLAP)) - 1 > 5
     # pieces longer than chunks
     for t in ("x" * 300_000, " " * 100_000 + "y", ("z" * 5000 + " ") * 20, "\n" * 5000 + "end"):
