@@ -501,6 +501,22 @@ def test_jaccard_ids_with_several_texts(spark):
         assert got == want
 
 
+def test_jaccard_long_lists_blocks_and_open_members(spark, monkeypatch):
+    """Lists that aren't counted, pivots in several blocks, members that don't link with theirs."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 4)
+    r, rows = random.Random(21), []
+    passage = [f"p{i}" for i in range(30)]
+    for base in range(6):
+        words = [f"w{r.randrange(10**6)}" for _ in range(12)] + passage
+        for _ in range(6):
+            w = list(words)
+            w[r.randrange(12)] = f"x{r.randrange(10**6)}"
+            rows.append((len(rows) + 1, " ".join(w)))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()}
+    assert got == components_of(rows, 3, 80)
+
+
 def test_jaccard_cells_and_prefixes(monkeypatch):
     r = random.Random(9)
     for _ in range(60):
