@@ -14,13 +14,19 @@ from logloom.functions.formats import log_format, parse
 
 Converter = Callable[[Column, dict[str, Any]], Column]
 REGISTRY: dict[str, Converter] = {}
+#: Of converters that can fail: which texts they can't convert.
+FAILS: dict[str, Converter] = {}
 
 
-def register(name: str) -> Callable[[Converter], Converter]:
-    """Add a converter under an option name."""
+def register(name: str, fails: Converter | None = None) -> Callable[[Converter], Converter]:
+    """Add a converter under an option name; one that can fail says which texts it `fails` on,
+    as an error within a column would end the query."""
 
     def add(f: Converter) -> Converter:
         REGISTRY[name.upper()] = f
+        FAILS.pop(name.upper(), None)
+        if fails is not None:
+            FAILS[name.upper()] = fails
         return f
 
     return add
@@ -111,6 +117,21 @@ def chain(text: Column, options: list[dict[str, Any]]) -> Column:
     return text
 
 
+def guarded(text: Column, options: list[dict[str, Any]]) -> tuple[Column, Column]:
+    """The chain, which ends at the first converter that fails, and whether one did: then the
+    text is what went in. A null without failure stays dropped."""
+    raw, failed = text, F.lit(False)
+    for o in options:
+        fails = FAILS.get(str(o.get("optionName", "")).upper())
+        if fails is not None:
+            failed = failed | F.coalesce(fails(text, o), F.lit(False))
+            # a branch of CASE is evaluated only for the rows that reach it
+            text = F.when(~failed, chain(text, [o]))
+        else:
+            text = chain(text, [o])
+    return with_fallback(text, failed, raw), failed
+
+
 def with_fallback(converted: Column, failed: Column, raw: Column) -> Column:
     """The raw text where a conversion failed; a null without failure stays dropped."""
     return F.when(failed, raw).otherwise(converted)

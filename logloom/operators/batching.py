@@ -18,10 +18,18 @@ def by_count(df: DataFrame, group: list[str], order: list[str], n: int) -> DataF
 
 
 def by_bytes(df: DataFrame, group: list[str], order: list[str], size: str, limit: int) -> DataFrame:
-    """`batch_id` by the slice of `limit` bytes in which a record ends, so that a batch has at
-    most `limit` bytes more than its first record's share; a record is never split."""
-    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("batch_id", F.floor((F.sum(size).over(upto) - 1) / limit).cast("long"))
+    """`batch_id` from 0 within each group: a batch never has more than `limit` bytes, but for a
+    single record that is larger itself. The running bytes are cut into slices of `limit`: the
+    records that lie in a slice are a batch, and one that reaches beyond its slice is a batch
+    alone. A null size counts as 0."""
+    inorder = Window.partitionBy(*group).orderBy(*order)
+    upto = inorder.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.coalesce(F.col(size), F.lit(0)).cast("long")
+    end = F.sum(n).over(upto)
+    first = F.floor((end - n) / limit)
+    at = (2 * first + F.when((n > 0) & (F.floor((end - 1) / limit) > first), 1).otherwise(0)).cast("long")
+    out = df.withColumn("_at", at).withColumn("_new", (F.col("_at") != F.lag("_at").over(inorder)).cast("long"))
+    return out.withColumn("batch_id", F.coalesce(F.sum("_new").over(upto), F.lit(0).cast("long"))).drop("_at", "_new")
 
 
 def flush_due(df: DataFrame, records: int, size: int, age_ms: int) -> DataFrame:

@@ -6,32 +6,49 @@ that already have their number, and never sorts more than one file's lines toget
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Largest records by size class, in bytes.
 MAX_RECORD = {"COMMON": 1 << 20, "ADVANCED": 5 << 20}
+#: Lines that a task hands on at a time, at most.
+LINES = 1 << 14
 
 
 def lines(df: DataFrame, file_id: str, text: str, delimiter: str = "\n", keep_unterminated: bool = True) -> DataFrame:
     """(file_id, line_no from 0, raw, terminated, start_offset, end_offset) of whole texts. The
     part after the last delimiter is a record only if it isn't empty; it is unterminated, and
-    with `keep_unterminated` off it is held back as a tailer would hold it."""
-    escaped = rf"\x{ord(delimiter):02x}"
-    # the number of parts is found below the explode, else it would be found again for each line
-    out = df.select(F.col(file_id).alias("file_id"), F.split(F.col(text), escaped, -1).alias("parts")).withColumn("n", F.size("parts"))
-    out = out.select("file_id", "n", F.posexplode("parts").alias("line_no", "raw"))
-    out = out.withColumn("terminated", F.col("line_no") < F.col("n") - 1)
-    out = out.where("terminated" if not keep_unterminated else "terminated OR raw <> ''")
-    return offsets(out.drop("n"))
-
-
-def offsets(df: DataFrame) -> DataFrame:
-    """start_offset and end_offset of lines of a file: running sums of their bytes, the
-    delimiter counted where there is one."""
-    size = F.octet_length("raw") + F.col("terminated").cast("int")
-    upto = Window.partitionBy("file_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("end_offset", F.sum(size).over(upto).cast("long")).withColumn("start_offset", F.col("end_offset") - size)
+    with `keep_unterminated` off it is held back as a tailer would hold it. A null text has no
+    lines. Numbers and offsets are found where the text is, without a shuffle."""
+    texts = df.select(F.col(file_id).alias("file_id"), F.col(text).cast("string").cast("binary").alias("text"))
+    of = texts.schema["file_id"]
+    names = ("line_no", "raw", "terminated", "end_offset", "start_offset")
+    kinds = (IntegerType(), StringType(), BooleanType(), LongType(), LongType())
+    end = delimiter.encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                parts = pc.split_pattern(batch.column(1).slice(i, 1), end).flatten()
+                closed = max(len(parts) - 1, 0)
+                n = closed + int(keep_unterminated and len(parts) > 0 and len(parts[-1].as_py()) > 0)
+                ended = np.arange(n) < closed
+                sizes = pc.binary_length(parts.slice(0, n)).to_numpy(zero_copy_only=False).astype(np.int64) + ended
+                ends = np.cumsum(sizes)
+                for at in range(0, n, LINES):
+                    to = min(n, at + LINES)
+                    # a view, as bytes that aren't valid UTF-8 stay what they are
+                    raw = pa.concat_arrays([parts.slice(at, to - at)]).view(pa.string())
+                    columns = [pa.array(np.arange(at, to, dtype=np.int32)), raw, pa.array(ended[at:to]), pa.array(ends[at:to]), pa.array((ends - sizes)[at:to])]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(to - at, i))), *columns], names=["file_id", *names])
+
+    return texts.mapInArrow(run, StructType([of, *map(StructField, names, kinds)]))
 
 
 def skip_header(df: DataFrame, n: int) -> DataFrame:
@@ -83,3 +100,10 @@ def runaway(df: DataFrame, buffer: int) -> DataFrame:
     `discarded` counts these bytes."""
     raw = F.col("raw").cast("binary")
     return df.withColumn("discarded", F.greatest(F.octet_length(raw) - buffer, F.lit(0)).cast("long")).withColumn("raw", F.when(F.octet_length(raw) > buffer, F.substring(raw, 1, buffer)).otherwise(raw))
+
+
+def decoded(data: Column, encoding: str) -> Column:
+    """Bytes as text; what isn't valid UTF-8 becomes U+FFFD and doesn't end the query."""
+    if encoding.upper().replace("-", "") == "UTF8":
+        return F.make_valid_utf8(data.cast("string"))
+    return F.decode(data, encoding)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,14 @@ from logloom.streaming import sink, tail
 
 def records(rows: DataFrame, flow: Flow) -> DataFrame:
     """(file_id, file_path, start_offset, end_offset, raw text, terminated) -> RECORD rows: what
-    a converter drops is gone, what is too long is cut."""
+    a converter drops is gone, what it fails on goes as it came, what is too long is cut. How
+    many were processed, skipped and failed is observed under the flow's id."""
     # the delimiter is still there while converters see the text, as they keep a line break
     text = F.concat(F.col("raw"), F.when(F.col("terminated"), flow.record_delimiter).otherwise(""))
-    rows = rows.withColumn("_data", converters.chain(text, flow.converters)).where(F.col("_data").isNotNull())
+    data, failed = converters.guarded(text, flow.converters)
+    rows = rows.withColumn("_data", data)
+    rows = rows.observe(f"records {flow.id}", F.count("_data").alias("processed"), F.count_if(F.col("_data").isNull()).alias("skipped"), F.count_if(failed).alias("failed"))
+    rows = rows.where(F.col("_data").isNotNull())
     end = F.lit(flow.record_delimiter)
     if not flow.remain_record_delimiter:
         rows = rows.withColumn("_data", F.when(F.endswith("_data", end), F.substring("_data", F.lit(1), F.length("_data") - 1)).otherwise(F.col("_data")))
@@ -33,7 +38,8 @@ def batch(spark: SparkSession, flow: Flow) -> DataFrame:
     """All records of the files that are there now."""
     if not flow.file_appendable and flow.kind == "object_store":
         return files.whole_files(spark, flow.file_pattern, flow.directory_recursion, flow.file_suffix)
-    rows = files.framed_records(spark, flow.file_pattern, flow.record_delimiter, flow.directory_recursion, flow.file_suffix, flow.file_encoding)
+    recent = int(time.time() * 1000) - 1000 * flow.ignore_not_updated_file_seconds if flow.ignore_not_updated_file_seconds >= 0 else None
+    rows = files.framed_records(spark, flow.file_pattern, flow.record_delimiter, flow.directory_recursion, flow.file_suffix, flow.file_encoding, recent)
     rows = framing.skip_header(rows, flow.skip_header_lines)
     if flow.multi_line_start_pattern:
         rows = framing.multi_line(rows, flow.multi_line_start_pattern)
@@ -46,14 +52,14 @@ def stream(spark: SparkSession, flow: Flow) -> DataFrame:
     """Records as files grow."""
     tail.register(spark)
     reader = spark.readStream.format("tail").option("path", flow.file_pattern).option("delimiter", flow.record_delimiter)
-    reader = reader.option("startAtEnd", str(flow.initial_position == "END_OF_FILE").lower()).option("recursive", str(flow.directory_recursion).lower()).option("suffix", flow.file_suffix).option("skipHeaderLines", str(flow.skip_header_lines)).option("headerBytes", str(flow.header_bytes_length))
+    reader = reader.option("startAtEnd", str(flow.initial_position == "END_OF_FILE").lower()).option("recursive", str(flow.directory_recursion).lower()).option("suffix", flow.file_suffix).option("skipHeaderLines", str(flow.skip_header_lines)).option("headerBytes", str(flow.header_bytes_length)).option("order", flow.order)
     if flow.miss_last_record_delimiter or not flow.file_appendable:
         reader = reader.option("releaseMs", str(flow.max_file_checking_millis))
     if flow.multi_line_start_pattern:
         reader = reader.option("multiLineStart", flow.multi_line_start_pattern)
     if flow.ignore_not_updated_file_seconds >= 0:
         reader = reader.option("ignoreOlderSeconds", str(flow.ignore_not_updated_file_seconds))
-    rows = reader.load().withColumn("raw", F.decode("raw", flow.file_encoding))
+    rows = reader.load().withColumn("raw", framing.decoded(F.col("raw"), flow.file_encoding))
     return records(rows, flow)
 
 

@@ -185,11 +185,13 @@ def converter_chain(t):
     return t("orders").select("o_orderkey", converters.chain(line, steps).alias("data"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN event_type ELSE '{' || event_type || '}' END AS data, event_id % 5 = 0 AS failed FROM events")
+@query("WITH l AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN event_type ELSE CAST(event_id AS VARCHAR) END AS line FROM events) SELECT event_id, CASE WHEN TRY_CAST(line AS BIGINT) IS NULL THEN line ELSE '{' || CAST(2 * CAST(line AS BIGINT) AS VARCHAR) || '}' END AS data, TRY_CAST(line AS BIGINT) IS NULL AS failed FROM l")
 def conversion_fallback(t):
-    failed = F.col("event_id") % 5 == 0
-    done = converters.chain(F.when(~failed, F.col("event_type")), [{"optionName": "ADDBRACKETS"}])
-    return t("events").select("event_id", converters.with_fallback(done, failed, F.col("event_type")).alias("data"), failed.alias("failed"))
+    """A converter that raises on what is no number, in a chain: such lines go as they came."""
+    line = F.when(F.col("event_id") % 5 == 0, F.col("event_type")).otherwise(F.col("event_id").cast("string"))
+    converters.register("DOUBLED", fails=lambda text, _: text.try_cast("long").isNull())(lambda text, _: (2 * text.cast("long")).cast("string"))
+    data, failed = converters.guarded(line, [{"optionName": "DOUBLED"}, {"optionName": "ADDBRACKETS"}])
+    return t("events").select("event_id", data.alias("data"), failed.alias("failed"))
 
 
 @query(f"WITH l AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '<34>' ELSE '' END || {SYSLOG_SQL} AS line FROM events) SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS processed, count(*) FILTER (WHERE event_id % 7 = 0) AS skipped FROM l")
@@ -294,7 +296,7 @@ def batch_by_count(t):
     return batching.by_count(t("lineitem"), ["l_suppkey"], ["l_orderkey", "l_linenumber"], 50).select("l_orderkey", "l_linenumber", "batch_id")
 
 
-@query("SELECT doc_id, CAST((sum(octet_length(encode(text))) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - 1) // 20000 AS BIGINT) AS batch_id FROM documents")
+@query("WITH s AS (SELECT doc_id, octet_length(encode(text)) AS n, sum(octet_length(encode(text))) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS upto, source FROM documents) SELECT doc_id, CAST(dense_rank() OVER (PARTITION BY source ORDER BY (upto - n) // 20000, n > 0 AND (upto - 1) // 20000 > (upto - n) // 20000) - 1 AS BIGINT) AS batch_id FROM s")
 def batch_by_bytes(t):
     return batching.by_bytes(t("documents").select("doc_id", "source", F.octet_length("text").alias("bytes")), ["source"], ["doc_id"], "bytes", 20000).select("doc_id", "batch_id")
 

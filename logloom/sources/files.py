@@ -7,7 +7,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators.framing import lines
+from logloom.operators.framing import decoded, lines
 
 ARCHIVES = r"\.(gz|bz2|zip|tar)$"
 
@@ -46,13 +46,15 @@ def text_records(spark: SparkSession, pattern: str, delimiter: str = "\n", recur
     return out.where(wanted(F.col("name"), suffix)).drop("name")
 
 
-def framed_records(spark: SparkSession, pattern: str, delimiter: str = "\n", recursive: bool = False, suffix: str = ".COMPLETED", encoding: str = "UTF-8") -> DataFrame:
+def framed_records(spark: SparkSession, pattern: str, delimiter: str = "\n", recursive: bool = False, suffix: str = ".COMPLETED", encoding: str = "UTF-8", newer_than_ms: int | None = None) -> DataFrame:
     """Numbered lines with byte offsets of whole files (see framing.lines). A file is a row, so
     this is for files that fit a task; larger ones go through the tailing source."""
     directory, glob = split_pattern(pattern)
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(directory)
     df = df.where(wanted(F.element_at(F.split("path", "/"), -1), suffix))
-    return lines(df.select("path", F.decode("content", encoding).alias("text")), "path", "text", delimiter)
+    if newer_than_ms is not None:
+        df = df.where(F.unix_millis("modificationTime") > newer_than_ms)
+    return lines(df.select("path", decoded(F.col("content"), encoding).alias("text")), "path", "text", delimiter)
 
 
 def whole_files(spark: SparkSession, pattern: str, recursive: bool = False, suffix: str = ".COMPLETED") -> DataFrame:

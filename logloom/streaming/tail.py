@@ -11,7 +11,7 @@ one, or with `release_ms` until the file hasn't changed for so long. A record la
 buffer becomes its first part, and what follows up to the next delimiter is discarded.
 
 Options: path (directory and glob), delimiter, startAtEnd, recursive, suffix, skipHeaderLines,
-releaseMs, bufferBytes, maxBytesPerBatch, headerBytes, multiLineStart, ignoreOlderSeconds.
+releaseMs, bufferBytes, maxBytesPerBatch, headerBytes, multiLineStart, ignoreOlderSeconds, order.
 """
 
 from __future__ import annotations
@@ -64,6 +64,7 @@ class TailReader(DataSourceStreamReader):
         self.header_bytes = int(get("headerBytes", "512"))
         self.begins = re.compile(get("multiLineStart", "").encode()) if get("multiLineStart", "") else None
         self.older = int(get("ignoreOlderSeconds", "-1"))
+        self.newest_first = get("order", "oldest_first") == "newest_first"
         self.last: dict[str, dict] = {}
 
     def files(self) -> dict[str, dict]:
@@ -81,7 +82,7 @@ class TailReader(DataSourceStreamReader):
                     continue
                 if os.path.isfile(path) and not 0 <= self.older < time.time() - s.st_mtime:
                     found[f"{s.st_dev}-{s.st_ino}"] = {"path": path, "size": s.st_size, "mtime": s.st_mtime}
-        return dict(sorted(found.items(), key=lambda x: (x[1]["mtime"], [int(p) if n % 2 else p for n, p in enumerate(re.split(r"([0-9]+)", x[1]["path"]))], x[1]["path"])))
+        return dict(sorted(found.items(), key=lambda x: (x[1]["mtime"], [int(p) if n % 2 else p for n, p in enumerate(re.split(r"([0-9]+)", x[1]["path"]))], x[1]["path"]), reverse=self.newest_first))
 
     def state(self, f: dict, limit_from: int | None = None, held: bool = False) -> dict:
         digest, n = header(f["path"], self.header_bytes)

@@ -99,5 +99,8 @@ def test_batches(spark):
     df = spark.range(7).withColumn("g", F.lit(1)).withColumn("n", F.lit(4))
     assert rows(batching.by_count(df, ["g"], ["id"], 3), "id", "batch_id") == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 2)]
     assert rows(batching.by_bytes(df, ["g"], ["id"], "n", 8), "batch_id") == [(0,), (0,), (1,), (1,), (2,), (2,), (3,)]
+    odd = spark.createDataFrame([(i, 1, n) for i, n in enumerate([3, 3, 3, 0, 8, 20, None, 5, 3])], "id long, g int, n int")
+    # 9 bytes reach beyond the first 8, 17 beyond the next; 20 are more than a batch may have
+    assert rows(batching.by_bytes(odd, ["g"], ["id"], "n", 8), "id", "batch_id") == [(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 5), (7, 6), (8, 7)]
     with pytest.raises(ValueError):
         batching.check_size(6 << 20)

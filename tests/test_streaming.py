@@ -1,7 +1,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from logloom.functions import converters
 from logloom.plans import flow as flows
 from logloom.plans.config import flow, load
 from logloom.streaming import sink, tail
@@ -92,6 +94,26 @@ def test_flow_batch(spark, tmp_path):
     assert [bytes(r["data"]).decode() for r in got] == ['{"timestamp":"Oct 11 22:14:15","hostname":"web01","program":"sshd","processid":"4123","message":"Accepted"}']
 
 
+def test_flow_batch_counts_and_falls_back(spark, tmp_path):
+    """What a converter fails on goes as it came, what isn't UTF-8 ends nothing, old files stay."""
+    (tmp_path / "a.log").write_bytes(b"12\nx\xff\n\n7")
+    (tmp_path / "old.log").write_text("1\n")
+    os.utime(tmp_path / "old.log", (1, 1))
+    converters.register("HALVED", fails=lambda text, _: F.trim(text).try_cast("int").isNull())(lambda text, _: F.when(F.trim(text).cast("int") % 2 == 0, (F.trim(text).cast("int") / 2).cast("int").cast("string")))
+    f = flow({"filePattern": f"{tmp_path}/*.log", "stream": "s", "ignoreNotUpdatedFileSeconds": 3600, "dataProcessingOptions": [{"optionName": "HALVED"}, {"optionName": "ADDBRACKETS"}]})
+    got = flows.batch(spark, f).orderBy("start_offset").collect()
+    assert [bytes(r["data"]).decode() for r in got] == ["{6}", "x\ufffd", ""]
+
+
+def test_newest_first(tmp_path):
+    for n, name in enumerate(("a1", "a2", "a10")):
+        (tmp_path / name).write_text("x\n")
+        os.utime(tmp_path / name, (n // 2, n // 2))
+    names = lambda order: [os.path.basename(f["path"]) for f in tail.TailReader({"path": f"{tmp_path}/*", "order": order}).files().values()]
+    assert names("oldest_first") == ["a1", "a2", "a10"]
+    assert names("newest_first") == ["a10", "a2", "a1"]
+
+
 class Flaky:
     def __init__(self):
         self.calls = 0
