@@ -94,7 +94,7 @@ def test_flow_batch(spark, tmp_path):
     assert [bytes(r["data"]).decode() for r in got] == ['{"timestamp":"Oct 11 22:14:15","hostname":"web01","program":"sshd","processid":"4123","message":"Accepted"}']
 
 
-def test_flow_batch_counts_and_falls_back(spark, tmp_path):
+def test_flow_batch_falls_back(spark, tmp_path):
     """What a converter fails on goes as it came, what isn't UTF-8 ends nothing, old files stay."""
     (tmp_path / "a.log").write_bytes(b"12\nx\xff\n\n7")
     (tmp_path / "old.log").write_text("1\n")
