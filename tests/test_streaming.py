@@ -105,6 +105,17 @@ def test_flow_batch_falls_back(spark, tmp_path):
     assert [bytes(r["data"]).decode() for r in got] == ["{6}", "x\ufffd", ""]
 
 
+def test_flow_stream_counts(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("Oct 11 22:14:15 web01 sshd[4123]: Accepted\nnoise\nmore noise\n")
+    f = flow({"filePattern": f"{logs}/*.log", "stream": "s", "dataProcessingOptions": [{"optionName": "LOGTOJSON", "logFormat": "SYSLOG"}]})
+    q = flows.start(spark, f, sink.parquet_sink(str(tmp_path / "out")), str(tmp_path / "checkpoint"), once=True)
+    assert q.awaitTermination(60)
+    seen = [m for p in q.recentProgress for m in p.observedMetrics.values()]
+    assert [tuple(sum(m[k] for m in seen) for k in ("processed", "skipped", "failed"))] == [(1, 2, 0)]
+
+
 def test_newest_first(tmp_path):
     for n, name in enumerate(("a1", "a2", "a10")):
         (tmp_path / name).write_text("x\n")
