@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.folds import let, running, sums_before
+from logloom.llm.license_notices import NOTICES
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,8 +119,9 @@ OTHERS = [
     ("proprietary", "reserved", "all rights reserved", 0.5),
     ("copyleft", "copyleft", "copyleft", 0.5),
 ]
-#: Every rule needs one of these somewhere in a text.
-GATE = r"(?i)licen[sc]e|cc[^a-z0-9]+by|\bcc0|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribut|rights[^a-z0-9]+reserved|copyleft|not[^a-z0-9]+use[^a-z0-9]+this|under[^a-z0-9]+(?:(?:a|the)[^a-z0-9]+)?cc"
+#: Every rule needs one of these somewhere in a text: those of the families and others, and the
+#: keywords of the notices.
+GATE = r"(?i)licen[sc]e|cc[^a-z0-9]+by|\bcc0|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribut|rights[^a-z0-9]+reserved|copyleft|not[^a-z0-9]+use[^a-z0-9]+this|under[^a-z0-9]+(?:(?:a|the)[^a-z0-9]+)?cc|(?:^|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?:" + "|".join(sorted({key for _, key, _, _ in NOTICES})) + r")(?:[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]|$)"
 
 
 def spaced(pattern: str) -> str:
@@ -131,7 +133,7 @@ def spaced(pattern: str) -> str:
 def rules() -> list[tuple[int, str, str, str, float]]:
     """(rank, label, keyword, regex, confidence) of all rules, the strongest first."""
     out = [("" if shape == "deny" else label, key if "N" in pattern else name.split()[0], pattern.replace("N", f"(?:{full})").replace("I", name), sure) for shape, pattern, sure in SHAPES for label, key, full, name in FAMILIES]
-    out = [r for r in out if not r[3]] + [r for r in OTHERS if not r[3]] + [r for r in OTHERS if r[3]] + [r for r in out if r[3]]
+    out = [r for r in out if not r[3]] + [r for r in OTHERS if not r[3]] + [r for r in OTHERS if r[3]] + NOTICES + [r for r in out if r[3]]
     return [(n, label, f" {key} ", spaced(pattern), sure) for n, (label, key, pattern, sure) in enumerate(out)]
 
 
