@@ -17,6 +17,8 @@ from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, St
 
 #: Largest records by size class, in bytes.
 MAX_RECORD = {"COMMON": 1 << 20, "ADVANCED": 5 << 20}
+#: Bytes of a read buffer; no record is longer.
+READ_BUFFER = 6 << 20
 #: Lines that a task hands on at a time, at most.
 LINES = 1 << 14
 

@@ -71,6 +71,10 @@ def appendable_actions(old: DataFrame, new: DataFrame) -> DataFrame:
     lengths = truncated.where(F.octet_length("header") > 0).select(F.octet_length("header").alias("len")).distinct()
     prefixes = fresh.select("file_id", "size", "header").join(F.broadcast(lengths), F.octet_length("header") >= F.col("len")).select("file_id", "size", F.sha2(F.substring(F.col("header").cast("binary"), F.lit(1), F.col("len")), 256).alias("digest"))
     origin = truncated.where(F.octet_length("header") > 0).select(F.sha2(F.col("header").cast("binary"), 256).alias("digest"), F.col("size").alias("old_size"), F.col("last_offset").alias("old_offset"), F.col("file_id").alias("origin"))
+    # two origins tell whether there is just one: of a header that many files share, such as a
+    # table's first line, only the two smallest files are looked at
+    smallest = Window.partitionBy("digest").orderBy("old_size", "origin")
+    origin = origin.withColumn("_n", F.row_number().over(smallest)).where("_n <= 2").drop("_n")
     copies = prefixes.join(origin, "digest").where("old_size <= size").groupBy("file_id").agg(F.countDistinct("origin").alias("origins"), F.min("old_offset").alias("old_offset")).where("origins = 1")
     # the only new file and the only truncated one, whose header is empty
     sole = fresh.agg(F.count("*").alias("new_n"), F.min("file_id").alias("file_id")).where("new_n = 1").join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 
@@ -45,6 +46,9 @@ def batch(spark: SparkSession, flow: Flow) -> DataFrame:
         rows = framing.multi_line(rows, flow.multi_line_start_pattern)
     elif flow.miss_last_record_delimiter:
         rows = framing.drop_lone_delimiters(rows)
+    # a record that is longer than the buffer is cut, as in a stream, and its delimiter is gone
+    rows = framing.runaway(rows, framing.READ_BUFFER).withColumn("terminated", F.col("terminated") & (F.col("discarded") == 0))
+    rows = rows.withColumn("raw", framing.decoded(F.col("raw"), "UTF-8"))
     return records(rows.withColumn("file_path", F.col("file_id")), flow)
 
 
@@ -55,6 +59,8 @@ def stream(spark: SparkSession, flow: Flow) -> DataFrame:
     reader = reader.option("startAtEnd", str(flow.initial_position == "END_OF_FILE").lower()).option("recursive", str(flow.directory_recursion).lower()).option("suffix", flow.file_suffix).option("skipHeaderLines", str(flow.skip_header_lines)).option("headerBytes", str(flow.header_bytes_length)).option("order", flow.order)
     if flow.miss_last_record_delimiter or not flow.file_appendable:
         reader = reader.option("releaseMs", str(flow.max_file_checking_millis))
+    if flow.miss_last_record_delimiter:
+        reader = reader.option("skipLoneDelimiters", "true")
     if flow.multi_line_start_pattern:
         reader = reader.option("multiLineStart", flow.multi_line_start_pattern)
     if flow.ignore_not_updated_file_seconds >= 0:
@@ -75,6 +81,13 @@ def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], N
     return writer.start()
 
 
+def start_all(spark: SparkSession, config: Config, deliver: Callable[[Flow], Callable[[DataFrame, int], None]], checkpoints: str, once: bool = False) -> dict:
+    """Start the streams of all flows of files that grow: flow id -> query. Each has a
+    checkpoint folder of its own, named by a digest of its id, and the delivery made for it."""
+    grows = [f for f in config.flows if f.file_appendable]
+    return {f.id: start(spark, f, deliver(f), f"{checkpoints.rstrip('/')}/{hashlib.sha256(f.id.encode()).hexdigest()[:16]}", once) for f in grows}
+
+
 def all_batches(spark: SparkSession, config: Config) -> DataFrame:
     """The records of all flows, with the flow's id."""
     out = None

@@ -11,7 +11,8 @@ one, or with `release_ms` until the file hasn't changed for so long. A record la
 buffer becomes its first part, and what follows up to the next delimiter is discarded.
 
 Options: path (directory and glob), delimiter, startAtEnd, recursive, suffix, skipHeaderLines,
-releaseMs, bufferBytes, maxBytesPerBatch, headerBytes, multiLineStart, ignoreOlderSeconds, order.
+releaseMs, bufferBytes, maxBytesPerBatch (over all files), headerBytes, multiLineStart,
+ignoreOlderSeconds, order, skipLoneDelimiters (an empty record that others follow is left out).
 """
 
 from __future__ import annotations
@@ -65,7 +66,10 @@ class TailReader(DataSourceStreamReader):
         self.begins = re.compile(get("multiLineStart", "").encode()) if get("multiLineStart", "") else None
         self.older = int(get("ignoreOlderSeconds", "-1"))
         self.newest_first = get("order", "oldest_first") == "newest_first"
+        self.skip_lone = get("skipLoneDelimiters", "false").lower() == "true"
         self.last: dict[str, dict] = {}
+        self.known = False  # whether `last` is where the query stands
+        self.waiting: dict[str, int] = {}  # batches for which a file had to wait
 
     def files(self) -> dict[str, dict]:
         """The candidates by id, in the order of time and name."""
@@ -84,18 +88,22 @@ class TailReader(DataSourceStreamReader):
                     found[f"{s.st_dev}-{s.st_ino}"] = {"path": path, "size": s.st_size, "mtime": s.st_mtime}
         return dict(sorted(found.items(), key=lambda x: (x[1]["mtime"], [int(p) if n % 2 else p for n, p in enumerate(re.split(r"([0-9]+)", x[1]["path"]))], x[1]["path"]), reverse=self.newest_first))
 
-    def state(self, f: dict, limit_from: int | None = None, held: bool = False) -> dict:
+    def state(self, f: dict, limit_from: int | None = None, held: bool = False, most: int | None = None) -> dict:
+        """What is known of a file; with `most` 0 it stays where it is."""
         digest, n = header(f["path"], self.header_bytes)
-        return {"path": f["path"], "offset": self.complete(f, limit_from, held), "sha": digest, "len": n, "size": f["size"]}
+        offset = limit_from if most == 0 else self.complete(f, limit_from, held, self.most if most is None else most)
+        return {"path": f["path"], "offset": offset, "sha": digest, "len": n, "size": f["size"]}
 
     def initialOffset(self) -> dict:
         # at the end: what is there is skipped, but for a record that isn't complete
-        return {"files": json.dumps({k: self.state(f, held=True) for k, f in self.files().items()} if self.at_end else {})}
+        self.last = {k: self.state(f, held=True) for k, f in self.files().items()} if self.at_end else {}
+        self.known = True
+        return {"files": json.dumps(self.last)}
 
-    def complete(self, f: dict, limit_from: int | None, held: bool) -> int:
-        """The end of the last whole record, at most maxBytesPerBatch after `limit_from`."""
+    def complete(self, f: dict, limit_from: int | None, held: bool, most: int) -> int:
+        """The end of the last whole record, at most `most` bytes after `limit_from`."""
         size = f["size"]
-        end = size if limit_from is None or limit_from > size else min(size, limit_from + self.most)
+        end = size if limit_from is None or limit_from > size else min(size, limit_from + most)
         if end == size and not held and 0 <= self.release_ms <= (time.time() - f["mtime"]) * 1000:
             return end
         at, found = end, 0
@@ -124,12 +132,24 @@ class TailReader(DataSourceStreamReader):
         """Offsets after the whole records that are there now. They depend on the files alone,
         so that a restarted query sees the same; what is known only limits a batch, and keeps
         a file that is missing for the first time."""
-        files = self.files()
-        out = {k: self.state(f, self.last[k]["offset"] if k in self.last else None) for k, f in files.items()}
+        files, left = self.files(), self.most
+        # where a file shrank or is gone, a new one may be its copy and go on from its offset
+        copied = not self.known or any(k not in files or files[k]["size"] < o["size"] for k, o in self.last.items())
+        out, waiting = {}, {}
+        # those that had to wait longest come first; what is left must hold a buffer, or a file would
+        # get too little for a record
+        for k in sorted(files, key=lambda k: -self.waiting.get(k, 0)):
+            f, at = files[k], self.last[k]["offset"] if k in self.last else None if copied else 0
+            grown = at is not None and at <= f["size"]
+            if grown and left < min(self.buffer, self.most) and at < f["size"]:
+                waiting[k] = self.waiting.get(k, 0) + 1
+            out[k] = self.state(f, at, most=(0 if k in waiting else left) if grown else None)
+            left = max(0, left - max(0, out[k]["offset"] - (at if grown else 0)))
+        self.waiting = waiting
         for k, o in self.last.items():
             if k not in files and not o.get("gone"):
                 out[k] = o | {"gone": True}
-        self.last = out
+        self.last, self.known = out, True
         return {"files": json.dumps(out)}
 
     def start_of(self, file_id: str, now: dict, before: dict, after: dict) -> int:
@@ -145,6 +165,8 @@ class TailReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Piece]:
         before, after = json.loads(start["files"]), json.loads(end["files"])
+        if not self.last:
+            self.last, self.known = after, True  # a batch that is run again after a restart
         out = []
         for file_id, now in after.items():
             if not now.get("gone") and os.path.exists(now["path"]):
@@ -209,7 +231,7 @@ class TailReader(DataSourceStreamReader):
                         if sum(map(len, opened)) >= self.buffer:
                             yield record(b"".join(opened), at - sum(map(len, opened)), whole, True)
                             opened = []
-                    else:
+                    elif not (self.skip_lone and raw == d and (tail or left)):
                         yield record(raw, start, whole, over)
                 if not tail and not left:
                     break

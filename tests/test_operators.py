@@ -48,6 +48,8 @@ def snap(spark, *files):
         ([("1", "a", 10, 10, "h")], [("1", "a", 20, 0, "h")], [("1", "Resume", 10)]),
         ([("1", "a", 10, 10, "h")], [("1", "a.1", 10, 0, "h"), ("2", "a", 5, 0, "x")], [("1", "Carry", 10), ("2", "New", 0)]),
         ([("1", "a", 10, 6, "hhh")], [("1", "a", 0, 0, ""), ("2", "a.1", 10, 0, "hhh")], [("1", "Shrink", 0), ("2", "CopyAndTruncate", 6)]),
+        # of three originals with one header only one isn't larger than the copy; of two that aren't, neither is it
+        ([("1", "a", 10, 6, "hhh"), ("3", "b", 20, 7, "hhh"), ("4", "c", 30, 8, "hhh")], [("1", "a", 0, 0, ""), ("3", "b", 0, 0, ""), ("4", "c", 0, 0, ""), ("2", "a.1", 12, 0, "hhh"), ("5", "b.1", 40, 0, "hhh")], [("1", "Shrink", 0), ("2", "CopyAndTruncate", 6), ("3", "Shrink", 0), ("4", "Shrink", 0), ("5", "New", 0)]),
         ([("1", "a", 10, 10, "h1")], [("1", "a", 10, 0, "h2")], [("1", "ReNew", 0)]),
         ([("1", "a", 10, 10, "h")], [("1", "a", 4, 0, "h")], [("1", "Shrink", 0)]),
         ([("1", "a", 10, 10, "h")], [], [("1", "Deleting", 10)]),

@@ -66,6 +66,52 @@ def test_options(tmp_path):
     assert step(r, r.initialOffset())[1] == [b"E 1\n a", b"E 2\n b"]
 
 
+def test_one_limit_over_all_files(tmp_path):
+    """Four files, two records a batch: nothing is lost, read twice or never read."""
+    for n in range(4):
+        (tmp_path / f"{n}.log").write_bytes(b"".join(b"%d%02d\n" % (n, i) for i in range(6)))
+        os.utime(tmp_path / f"{n}.log", (n, n))
+    r = reader(tmp_path / "*.log", maxBytesPerBatch="8", bufferBytes="4")
+    at, seen, order = r.initialOffset(), [], []
+    for _ in range(20):
+        at, got = step(r, at)
+        assert sum(len(x) + 1 for x in got) <= 8
+        seen += got
+        order += [x[:1] for x in got]
+    assert sorted(seen) == sorted(b"%d%02d" % (n, i) for n in range(4) for i in range(6))
+    assert len(set(order[:8])) == 4  # those that waited come first
+    with (tmp_path / "0.log").open("ab") as f:
+        f.write(b"end\n")
+    assert step(r, at)[1] == [b"end"]
+    # from the end, only what comes then; a restarted reader runs a batch again and goes on
+    r = reader(tmp_path / "*.log", maxBytesPerBatch="8", bufferBytes="4", startAtEnd="true")
+    at = r.initialOffset()
+    with (tmp_path / "3.log").open("ab") as f:
+        f.write(b"a00\na01\na02\n")
+    end, got = step(r, at)
+    assert got == [b"a00", b"a01"]
+    r = reader(tmp_path / "*.log", maxBytesPerBatch="8", bufferBytes="4")
+    assert [bytes(x[4]) for p in r.partitions(at, end) for x in r.read(p)] == got
+    assert step(r, end)[1] == [b"a02"]
+
+
+def test_lone_delimiters_of_streams(tmp_path):
+    (tmp_path / "a.log").write_bytes(b"x\n\n\ny\n\n")
+    r = reader(tmp_path / "*.log", skipLoneDelimiters="true")
+    assert step(r, r.initialOffset())[1] == [b"x", b"y", b""]
+
+
+def test_all_flows_start(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / n).mkdir()
+        (tmp_path / n / "x.log").write_text(f"{n}1\n{n}2\n")
+    c = load('{"flows": [%s,\n{"filePattern": "/whole/*", "stream": "s", "isFileAppendable": false}]}' % ",".join('{"filePattern": "%s/*.log", "stream": "s"}' % (tmp_path / n) for n in "ab"))
+    out = lambda f: str(tmp_path / f"out{c.flows.index(f)}")
+    qs = flows.start_all(spark, c, lambda f: sink.parquet_sink(out(f)), str(tmp_path / "checkpoints"), once=True)
+    assert sorted(qs) == sorted(f.id for f in c.flows[:2]) and all(q.awaitTermination(60) for q in qs.values())
+    assert [sorted(bytes(r["data"]).decode() for r in spark.read.parquet(out(f)).collect()) for f in c.flows[:2]] == [["a1", "a2"], ["b1", "b2"]]
+
+
 def test_flow_stream_restarts_without_loss(spark, tmp_path):
     logs, out, checkpoint = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "checkpoint")
     logs.mkdir()
@@ -105,6 +151,15 @@ def test_flow_batch_falls_back(spark, tmp_path):
     assert [bytes(r["data"]).decode() for r in got] == ["{6}", "x\ufffd", ""]
 
 
+def test_flow_batch_cuts_runaway_records(spark, tmp_path, monkeypatch):
+    from logloom.operators import framing
+
+    monkeypatch.setattr(framing, "READ_BUFFER", 4)
+    (tmp_path / "a.log").write_text("abcd\nabcdefgh\nab\n")
+    got = flows.batch(spark, flow({"filePattern": f"{tmp_path}/*.log", "stream": "s", "isRemainRecordDelimiter": True})).orderBy("start_offset").collect()
+    assert [bytes(r["data"]).decode() for r in got] == ["abcd\n", "abcd", "ab\n"]
+
+
 def test_flow_stream_counts(spark, tmp_path):
     logs = tmp_path / "logs"
     logs.mkdir()
