@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, jaccard, licenses, mixing, pii, secret_scan, topk, toxicity, warc
+from logloom.llm import ann, bpe, jaccard, lexical, licenses, mixing, pii, secret_scan, topk, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8,
     "op9_toxicity": toxicity.op9,
     "op10_mixing": mixing.op10,
+    "op11_lexical_search": lexical.op11,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op7_ann": ann.ORACLE,
     "op8_secret_scan": secret_scan.oracle(),
     "op10_mixing": mixing.oracle(),
+    "op11_lexical_search": lexical.ORACLE,
 }
