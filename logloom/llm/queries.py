@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, jaccard, lexical, licenses, mixing, pii, secret_scan, topk, toxicity, warc
+from logloom.llm import ann, bpe, jaccard, lexical, licenses, mixing, phrases, pii, secret_scan, topk, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9,
     "op10_mixing": mixing.op10,
     "op11_lexical_search": lexical.op11,
+    "op12_phrase_mining": phrases.op12,
 }
 
 ORACLES = {
@@ -27,4 +28,5 @@ ORACLES = {
     "op8_secret_scan": secret_scan.oracle(),
     "op10_mixing": mixing.oracle(),
     "op11_lexical_search": lexical.ORACLE,
+    "op12_phrase_mining": phrases.ORACLE,
 }
