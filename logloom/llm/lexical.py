@@ -110,6 +110,8 @@ class Shard:
         """For each level, lowest first, the terms' largest weights by range: the lowest ranges
         are single documents."""
         own = [slice(self.starts[t], self.starts[t + 1]) for t in query if self.starts[t] < self.starts[t + 1]]
+        if not own:
+            return [np.zeros((1, 1), np.int64)]
         size = -(-len(self.ids) // FAN) * FAN
         levels = [np.zeros((size, len(own)), np.int64)]
         for i, at in enumerate(own):

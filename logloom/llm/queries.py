@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import ann, bpe, jaccard, lexical, licenses, mixing, phrases, pii, secret_scan, topk, toxicity, warc
+from logloom.llm import ann, bpe, jaccard, lexical, licenses, mixing, phrases, pii, secret_scan, suffixes, topk, toxicity, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_mixing": mixing.op10,
     "op11_lexical_search": lexical.op11,
     "op12_phrase_mining": phrases.op12,
+    "op13_suffix_dedup": suffixes.op13,
 }
 
 ORACLES = {
