@@ -20,22 +20,25 @@ columns are not read.
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.common import slices, staged, table, unstaged
+from logloom.llm.folds import let
 
 LONGEST = 5
 #: A-Z becomes a-z, tabs are spaces, and what separates pieces is a line feed.
 TEXT_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 #: Sums that a task holds before it passes them on.
-HELD = 200_000
+HELD = 500_000
 #: Phrases of a level that are sent to all tasks at most, and their bytes.
 SENT_ROWS, SENT_BYTES = 400_000, 16 << 20
 #: Memory of duckdb in a task, and positions that a bucket should have at most.
@@ -45,7 +48,7 @@ COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("weight",
 SCHEMA = "lang string, phrase string, weight long"
 
 
-def summed(rows: Iterator[tuple[str, Iterator[bytes], int]]) -> Iterator[pa.RecordBatch]:
+def summed(rows: Iterator[tuple[str, list[bytes], int]]) -> Iterator[pa.RecordBatch]:
     """(lang, phrases, weight) -> batches of lang, phrase and the weights' sum, partly summed."""
 
     def out() -> Iterator[pa.RecordBatch]:
@@ -55,13 +58,14 @@ def summed(rows: Iterator[tuple[str, Iterator[bytes], int]]) -> Iterator[pa.Reco
         held.clear()
 
     held: dict[str, Counter[bytes]] = {}
-    n = 0
-    for lang, phrases, weight in rows:
+    for n, (lang, found, weight) in enumerate(rows):
         counts = held.setdefault(lang, Counter())
-        for p in phrases:
-            counts[p] += weight
-        n += 1
-        if n % 256 == 0 and sum(map(len, held.values())) > HELD:
+        if weight == 1:
+            counts.update(found)
+        else:
+            for p in found:
+                counts[p] += weight
+        if n % 256 == 255 and sum(map(len, held.values())) > HELD:
             yield from out()
     yield from out()
 
@@ -69,51 +73,42 @@ def summed(rows: Iterator[tuple[str, Iterator[bytes], int]]) -> Iterator[pa.Reco
 def pieces(docs: DataFrame) -> DataFrame:
     """id, lang, phrase (the words of a piece between single spaces) and how often it occurs."""
 
-    def cut(lang: str, text: bytes) -> Iterator[tuple[str, Iterator[bytes], int]]:
-        for piece in text.translate(TEXT_BYTES).split(b"\n"):
-            words = piece.split()
-            if words:
-                yield lang, (b" ".join(words),), 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (row for batch in batches for part in slices(batch, 1) for row in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True))
-        return summed(x for lang, text in texts for x in cut(lang, text))
+        cut = lambda text: [b" ".join(w) for piece in text.translate(TEXT_BYTES).split(b"\n") if (w := piece.split())]
+        return summed((lang, cut(text), 1) for lang, text in texts)
 
     found = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
     return staged(found.groupBy("lang", "phrase").agg(F.sum("weight").alias("weight")).withColumn("id", F.monotonically_increasing_id()), "phrases-pieces")
 
 
-def runs(words: list[bytes], good: Callable[[bytes], bool] | set[int], k: int) -> Iterator[list[bytes]]:
-    """The longest runs of at least k words whose phrases of k-1 words are all good (a set has
-    the good positions)."""
-    start = None
-    n = len(words) - k + 2
-    for i in range(n):
-        ok = i in good if isinstance(good, set) else good(b" ".join(words[i : i + k - 1]))
-        if ok:
-            start = i if start is None else start
-        if start is not None and (not ok or i == n - 1):
-            end = i + k - 1 if ok else i + k - 2
-            if end - start >= k:
-                yield words[start:end]
-            start = None
+def phrases(words: list[bytes], k: int) -> list[bytes]:
+    """All phrases of k words."""
+    if k == 1:
+        return words
+    if k == 2:
+        return [a + b" " + b for a, b in pairwise(words)]
+    return [b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
 
 
-def phrases(words: list[bytes], k: int) -> Iterator[bytes]:
-    return (b" ".join(words[i : i + k]) for i in range(len(words) - k + 1))
+def runs(words: list[bytes], good: set[bytes] | set[int], k: int, places: bool = False) -> list[list[bytes]]:
+    """The longest runs of at least k words whose phrases of k-1 words are all good (with
+    `places`, `good` has the good positions)."""
+    n = len(words) - k + 2
+    flags = bytes(i in good for i in range(n)) if places else bytes([p in good for p in phrases(words, k - 1)])
+    return [words[m.start() : m.end() + k - 2] for m in re.finditer(rb"\x01{2,}", flags)]
 
 
-def each(df: DataFrame, use: Callable[[dict], Iterator[tuple[str, Iterator[bytes], int]]]) -> DataFrame:
-    """The partly summed phrases of what `use` makes of each row; phrase is bytes there."""
+def each(df: DataFrame, use: Callable[..., Iterable[tuple[str, list[bytes], int]]]) -> DataFrame:
+    """The partly summed phrases of what `use` makes of (lang, words, weight, *more) of each row."""
+    rows = df.select("lang", "phrase", "weight", *[c for c in df.columns if c not in ("id", "lang", "phrase", "weight")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = df_columns.index("phrase")
-        parts = (part for batch in batches for part in slices(batch, at))
-        rows = (dict(zip(df_columns, row, strict=True)) for part in parts for row in zip(*(c.cast(pa.binary()).to_pylist() if i == at else c.to_pylist() for i, c in enumerate(part.columns)), strict=True))
-        return summed(x for row in rows for x in use(row))
+        parts = (part for batch in batches for part in slices(batch, 1))
+        each_row = (row for part in parts for row in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in part.columns[2:]), strict=True))
+        return summed(x for lang, phrase, *more in each_row for x in use(lang, phrase.split(b" "), *more))
 
-    df_columns = df.columns
-    return df.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)
 
 
 def asked(source: DataFrame, passed: DataFrame, k: int) -> DataFrame:
@@ -121,22 +116,22 @@ def asked(source: DataFrame, passed: DataFrame, k: int) -> DataFrame:
     words that are in `passed`. A request for each position goes to where its phrase is kept,
     and the answers go back to the row."""
     words = F.split("phrase", " ")
-    every = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 2)), lambda i: F.array_join(F.slice(words, i, k - 1), " "))
+    every = let(words, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (k - 2)), lambda i: F.array_join(F.slice(w, i, k - 1), " ")))
     requests = source.where(F.size(words) >= k - 1).select("id", "lang", F.posexplode(every).alias("place", "phrase"))
     answers = requests.join(passed.select("lang", "phrase").hint("merge"), ["lang", "phrase"]).groupBy("id").agg(F.collect_list("place").alias("places"))
     return source.join(answers, "id")
 
 
-def kept(source: DataFrame, passed: DataFrame, k: int) -> tuple[DataFrame, Callable[[dict], Iterator[tuple[str, list[bytes], int]]]]:
-    """The rows of `source`, and what gives for a row the runs whose phrases of k-1 words all passed."""
+def kept(source: DataFrame, passed: DataFrame, k: int) -> tuple[DataFrame, Callable[..., list[list[bytes]]]]:
+    """The rows of `source`, and what gives the runs of a row whose phrases of k-1 words all passed."""
     n, size = passed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
     if n > SENT_ROWS or size > SENT_BYTES:
-        return asked(source, passed, k), lambda row: ((row["lang"], r, row["weight"]) for r in runs(row["phrase"].split(b" "), set(row["places"]), k))
+        return asked(source, passed, k), lambda lang, words, places: runs(words, set(places), k, places=True)
     by_lang: dict[str, set[bytes]] = {}
     for r in passed.select("lang", F.col("phrase").cast("binary")).toLocalIterator():
         by_lang.setdefault(r[0], set()).add(bytes(r[1]))
     sent = source.sparkSession.sparkContext.broadcast(by_lang)
-    return source, lambda row: ((row["lang"], r, row["weight"]) for r in runs(row["phrase"].split(b" "), sent.value.get(row["lang"], set()).__contains__, k))
+    return source, lambda lang, words: runs(words, sent.value.get(lang, set()), k)
 
 
 def counts(partial: DataFrame, least: int, buckets: int) -> DataFrame:
@@ -172,16 +167,16 @@ def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     totals = staged(source.groupBy("lang").agg(F.sum(F.col("weight") * size).alias("n"), F.sum(size).alias("positions")), "phrases-totals")
     positions = totals.agg(F.coalesce(F.sum("positions"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-positions // BUCKET_POSITIONS))
-    levels = [staged(counts(each(source, lambda row: [(row["lang"], row["phrase"].split(b" "), row["weight"])]), least, buckets), "phrases-1")]
+    levels = [staged(counts(each(source, lambda lang, words, weight: ((lang, words, weight),)), least, buckets), "phrases-1")]
     for k in range(2, LONGEST + 1):
         rows, good = kept(source, levels[-1], k)
-        if k > 2:  # what is left is little: identical runs become one
-            left = each(rows, lambda row, good=good: ((lang, (b" ".join(r),), w) for lang, r, w in good(row)))
+        if k == 2:
+            partial = each(rows, lambda lang, words, weight, *places, good=good: ((lang, phrases(r, 2), weight) for r in good(lang, words, *places)))
+        else:  # what is left is little: identical runs become one
+            left = each(rows, lambda lang, words, weight, *places, good=good: ((lang, [b" ".join(r) for r in good(lang, words, *places)], weight),))
             before, source = source, staged(left.groupBy("lang", "phrase").agg(F.sum("weight").alias("weight")).withColumn("id", F.monotonically_increasing_id()), f"phrases-runs-{k}")
             unstaged(before)
-            partial = each(source, lambda row, k=k: [(row["lang"], phrases(row["phrase"].split(b" "), k), row["weight"])])
-        else:
-            partial = each(rows, lambda row, good=good, k=k: ((lang, phrases(r, k), w) for lang, r, w in good(row)))
+            partial = each(source, lambda lang, words, weight, k=k: ((lang, phrases(words, k), weight),))
         levels.append(staged(counts(partial, least, buckets), f"phrases-{k}"))
     unstaged(source)
     every = levels[0].withColumn("k", F.lit(1))

@@ -628,7 +628,7 @@ def test_scans_of_long_texts_full_of_matches(spark):
     x = licenses.scan(df).first()
     assert (x["n_base"], x["first_word"], x["last_word"], len(x["detections"])) == (20_000, 1, 9999 * 11 + 4, 20_000)
     y = secret_scan.scan(df, [0] * len(secret_scan.ALPHABET) ** 2).first()
-    assert y["n_assign"] == 10_000 and y["spans"].endswith(f"assign:{9999 * len(text) + 49}:{9999 * len(text) + 63}")
+    assert y["n_assign"] == 10_000 and y["spans"].endswith(f"assign:{9999 * len(text) + 48}:{9999 * len(text) + 62}")
 
 
 # --- 9 toxicity

@@ -117,9 +117,9 @@ def test_phrases_of_nothing(spark):
 
 def test_runs_of_good_phrases():
     words = [b"a", b"b", b"c", b"d", b"e"]
-    assert list(phrases.runs(words, {b"a", b"b", b"d", b"e"}.__contains__, 2)) == [[b"a", b"b"], [b"d", b"e"]]
-    assert list(phrases.runs(words, {0, 1, 3}, 3)) == [[b"a", b"b", b"c"]]
-    assert list(phrases.runs(words, {0, 1, 2, 3}, 3)) == [words] and list(phrases.runs([b"a"], {0}, 2)) == []
+    assert phrases.runs(words, {b"a", b"b", b"d", b"e"}, 2) == [[b"a", b"b"], [b"d", b"e"]]
+    assert phrases.runs(words, {b"a b", b"b c", b"d e"}, 3) == [[b"a", b"b", b"c"]] == phrases.runs(words, {0, 1, 3}, 3, places=True)
+    assert phrases.runs(words, {0, 1, 2, 3}, 3, places=True) == [words] and phrases.runs([b"a"], {b"a"}, 2) == []
 
 
 # --- 13 suffix dedup
