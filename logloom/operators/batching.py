@@ -38,7 +38,11 @@ def flush_due(df: DataFrame, records: int, size: int, age_ms: int) -> DataFrame:
     return df.withColumn("flush_reason", reason).where(F.col("flush_reason").isNotNull())
 
 
+class TooLarge(ValueError):
+    """A batch that no call may have."""
+
+
 def check_size(n_bytes: int, kind: str = "stream") -> None:
     """Reject a batch that is larger than a call may be."""
     if n_bytes > LIMITS[kind]["call"]:
-        raise ValueError(f"a call has at most {LIMITS[kind]['call']} bytes, not {n_bytes}")
+        raise TooLarge(f"a call has at most {LIMITS[kind]['call']} bytes, not {n_bytes}")

@@ -6,6 +6,7 @@ that already have their number, and never sorts more than one file's lines toget
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,18 @@ READ_BUFFER = 6 << 20
 LINES = 1 << 14
 
 
-def lines(df: DataFrame, file_id: str, text: str, delimiter: str = "\n", keep_unterminated: bool = True) -> DataFrame:
+def lines(df: DataFrame, file_id: str, text: str, delimiter: str = "\n", keep_unterminated: bool = True, offsets: bool = True) -> DataFrame:
     """(file_id, line_no from 0, raw, terminated, start_offset, end_offset) of whole texts. The
     part after the last delimiter is a record only if it isn't empty; it is unterminated, and
     with `keep_unterminated` off it is held back as a tailer would hold it. A null text has no
-    lines. Numbers and offsets are found where the text is, without a shuffle."""
+    lines. Numbers and offsets are found where the text is, without a shuffle; without `offsets`
+    (the two columns are left out then) by built-in functions alone."""
+    if not offsets:
+        parts = F.split(F.col(text).cast("string"), re.escape(delimiter), -1)
+        out = df.select(F.col(file_id).alias("file_id"), parts.alias("_parts")).select("file_id", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("line_no", "raw"))
+        ended = F.col("line_no") < F.col("_n") - 1
+        kept = ended | (F.col("raw") != "") if keep_unterminated else ended
+        return out.where(kept).select("file_id", "line_no", "raw", ended.alias("terminated"))
     texts = df.select(F.col(file_id).alias("file_id"), F.col(text).cast("string").cast("binary").alias("text"))
     of = texts.schema["file_id"]
     names = ("line_no", "raw", "terminated", "end_offset", "start_offset")

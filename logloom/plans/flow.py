@@ -13,7 +13,7 @@ from logloom.functions import converters, keys
 from logloom.operators import framing
 from logloom.plans.config import Config, Flow
 from logloom.sources import files
-from logloom.streaming import sink, tail
+from logloom.streaming import sink, state, tail
 
 
 def records(rows: DataFrame, flow: Flow) -> DataFrame:
@@ -52,8 +52,10 @@ def batch(spark: SparkSession, flow: Flow) -> DataFrame:
     return records(rows.withColumn("file_path", F.col("file_id")), flow)
 
 
-def stream(spark: SparkSession, flow: Flow) -> DataFrame:
-    """Records as files grow."""
+def stream(spark: SparkSession, flow: Flow, running: bool = False) -> DataFrame:
+    """Records as files grow. With `running` what isn't complete stays in the state store:
+    records of several lines are joined across micro-batches, and rows are held until the flow's buffer is due
+    (see streaming.state), in as many lanes as the flow has sending threads."""
     tail.register(spark)
     reader = spark.readStream.format("tail").option("path", flow.file_pattern).option("delimiter", flow.record_delimiter)
     reader = reader.option("startAtEnd", str(flow.initial_position == "END_OF_FILE").lower()).option("recursive", str(flow.directory_recursion).lower()).option("suffix", flow.file_suffix).option("skipHeaderLines", str(flow.skip_header_lines)).option("headerBytes", str(flow.header_bytes_length)).option("order", flow.order)
@@ -61,12 +63,19 @@ def stream(spark: SparkSession, flow: Flow) -> DataFrame:
         reader = reader.option("releaseMs", str(flow.max_file_checking_millis))
     if flow.miss_last_record_delimiter:
         reader = reader.option("skipLoneDelimiters", "true")
-    if flow.multi_line_start_pattern:
+    if flow.multi_line_start_pattern and not running:
         reader = reader.option("multiLineStart", flow.multi_line_start_pattern)
     if flow.ignore_not_updated_file_seconds >= 0:
         reader = reader.option("ignoreOlderSeconds", str(flow.ignore_not_updated_file_seconds))
-    rows = reader.load().withColumn("raw", framing.decoded(F.col("raw"), flow.file_encoding))
-    return records(rows, flow)
+    rows = reader.load()
+    if flow.multi_line_start_pattern and running:
+        release = flow.max_file_checking_millis if flow.miss_last_record_delimiter or not flow.file_appendable else -1
+        rows = state.multi_line(rows, flow.multi_line_start_pattern, flow.record_delimiter, framing.READ_BUFFER, release)
+    rows = records(rows.withColumn("raw", framing.decoded(F.col("raw"), flow.file_encoding)), flow)
+    if not running:
+        return rows
+    limits = state.Limits(flow.max_buffer_size_records, flow.max_buffer_size_bytes, flow.max_buffer_age_millis)
+    return state.buffered(rows.withColumn("flow", F.lit(flow.id)), ["flow"], ["file_path", "start_offset"], limits, lanes=flow.sending_threads, lane_by="file_id")
 
 
 def delivery(flow: Flow, sender: sink.Sender, results: str, attempts: int = 10) -> sink.Delivery:
@@ -74,8 +83,15 @@ def delivery(flow: Flow, sender: sink.Sender, results: str, attempts: int = 10)
     return sink.Delivery(sender, results, flow.max_buffer_size_records, flow.max_buffer_size_bytes, flow.sending_threads, attempts, flow.retry_initial_backoff_millis, flow.retry_max_backoff_millis, flow.log_level)
 
 
-def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False):
-    """Start the flow's streaming query; a micro-batch is due at the age of a buffer."""
+def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, running: bool = False):
+    """Start the flow's streaming query; a micro-batch is due at the age of a buffer. With
+    `running` the flow's buffers and open records outlive micro-batches; such a query has
+    timers, so it doesn't end by itself and can't be run `once`."""
+    if running:
+        if once:
+            raise ValueError("a flow with running buffers can't be run once: what its buffers hold would stay there")
+        with state.state_store(spark):
+            return stream(spark, flow, running=True).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(processingTime=f"{flow.min_time_between_polls_millis} milliseconds").start()
     writer = stream(spark, flow).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flow.max_buffer_age_millis} milliseconds")
     return writer.start()

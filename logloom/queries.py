@@ -216,7 +216,7 @@ def doc_lines(t, **options) -> DataFrame:
 
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, raw FROM lines")
 def split_lines(t):
-    return doc_lines(t).select("file_id", "line_no", "raw")
+    return doc_lines(t, offsets=False).select("file_id", "line_no", "raw")
 
 
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, end_offset - octet_length(encode(raw)) - CAST(terminated AS INT) AS start_offset, end_offset FROM placed")
@@ -226,27 +226,27 @@ def record_offsets(t):
 
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, raw FROM lines WHERE terminated")
 def hold_unterminated(t):
-    return doc_lines(t, keep_unterminated=False).select("file_id", "line_no", "raw")
+    return doc_lines(t, keep_unterminated=False, offsets=False).select("file_id", "line_no", "raw")
 
 
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, raw FROM lines WHERE line_no >= 1")
 def skip_header(t):
-    return framing.skip_header(doc_lines(t), 1).select("file_id", "line_no", "raw")
+    return framing.skip_header(doc_lines(t, offsets=False), 1).select("file_id", "line_no", "raw")
 
 
 @query(f"WITH {LINES_SQL}, m AS (SELECT *, max(line_no) OVER (PARTITION BY file_id) AS last FROM lines) SELECT file_id, line_no, raw FROM m WHERE raw <> '' OR NOT terminated OR line_no = last")
 def drop_lone_delimiters(t):
-    return framing.drop_lone_delimiters(doc_lines(t)).select("file_id", "line_no", "raw")
+    return framing.drop_lone_delimiters(doc_lines(t, offsets=False)).select("file_id", "line_no", "raw")
 
 
 @query(f"WITH {LINES_SQL} SELECT file_id, line_no, raw || CASE WHEN terminated THEN chr(10) ELSE '' END AS data FROM lines")
 def keep_delimiter(t):
-    return doc_lines(t).select("file_id", "line_no", framing.with_delimiter(F.col("raw"), F.col("terminated"), "\n", True).alias("data"))
+    return doc_lines(t, offsets=False).select("file_id", "line_no", framing.with_delimiter(F.col("raw"), F.col("terminated"), "\n", True).alias("data"))
 
 
 @query("SELECT doc_id AS file_id, CAST(i - 1 AS INTEGER) AS line_no, p[i] AS raw FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM (SELECT doc_id, string_split(text, '.') AS p FROM documents WHERE text IS NOT NULL)) WHERE i < len(p) OR p[i] <> ''")
 def split_custom_delimiter(t):
-    return doc_lines(t, delimiter=".").select("file_id", "line_no", "raw")
+    return doc_lines(t, delimiter=".", offsets=False).select("file_id", "line_no", "raw")
 
 
 @query(f"""WITH {LINES_SQL}, r AS (SELECT *, sum(CASE WHEN line_no > 0 AND regexp_matches(raw, '^[A-M]') THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS record_no FROM placed)

@@ -13,7 +13,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -26,9 +28,9 @@ class Backoff:
     """Delays after failures: doubled with each, with jitter; a partial failure counts as the
     share that failed, a success divides the count by ten."""
 
-    def __init__(self, first_ms: int = 100, most_ms: int = 10_000, factor: float = 2.0, jitter: float = 0.3, recovery: float = 10.0, rng: Callable[[], float] = random.random):
+    def __init__(self, first_ms: int = 100, most_ms: int = 10_000, factor: float = 2.0, jitter: float = 0.3, recovery: float = 10.0, rng: Callable[[], float] = random.random, failures: float = 0.0):
         self.first_ms, self.most_ms, self.factor, self.jitter, self.recovery, self.rng = first_ms, most_ms, factor, jitter, recovery, rng
-        self.failures = 0.0
+        self.failures = failures
 
     def failed(self, share: float = 1.0) -> None:
         self.failures += share
@@ -75,7 +77,13 @@ def send(records: list[dict], sender: Sender, backoff: Backoff, attempts: int =
 @dataclass
 class Delivery:
     """A foreachBatch function: sends rows (file_id, end_offset, data, partition_key) and writes
-    what became of them to `results`, partitioned by batch id."""
+    what became of them to `results`, partitioned by batch id. Rows of running buffers (lane,
+    batch_no; see state.buffered) go buffer by buffer, the buffers of a lane in order.
+
+    Tasks pace themselves, and hand on what they learnt: a row has the failure count (`pace`) at the
+    end of its call (`call`, in `task`), and a micro-batch begins with the highest count at
+    which a task of the one before it ended, also after a restart. A lone record that
+    is larger than a call may be isn't sent, but becomes a dead letter."""
 
     sender: Sender
     results: str
@@ -88,11 +96,12 @@ class Delivery:
     log_level: int | None = logging.INFO
 
     def chunks(self, rows: Iterator[dict]) -> Iterator[list[dict]]:
-        """Batches by count and bytes; a record larger than a batch goes alone."""
+        """Batches by count and bytes; a record larger than a batch goes alone. A buffer ends a batch."""
         out, size = [], 0
         for r in rows:
             n = len(r["data"] or b"")
-            if out and (len(out) >= self.max_records or size + n > self.max_bytes):
+            other = out and (r.get("lane"), r.get("batch_no")) != (out[-1].get("lane"), out[-1].get("batch_no"))
+            if out and (other or len(out) >= self.max_records or size + n > self.max_bytes):
                 yield out
                 out, size = [], 0
             out.append(r)
@@ -101,26 +110,43 @@ class Delivery:
             yield out
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        sender, me = self.sender, self
-        fields = pa.schema([("file_id", pa.string()), ("end_offset", pa.int64()), ("partition_key", pa.string()), ("data", pa.binary()), ("error_code", pa.string()), ("error_message", pa.string())])
+        sender, me, before = self.sender, self, self.pace_after(df.sparkSession, batch_id - 1)
+        names = ("file_id", "end_offset", "partition_key", "data", "error_code", "error_message", "task", "call", "pace")
+        fields = pa.schema(list(zip(names, (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.float64()), strict=True)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            backoff = Backoff(me.first_ms, me.most_ms)
-            for chunk in me.chunks(r for b in batches for r in b.to_pylist()):
-                batching.check_size(sum(len(r["data"] or b"") for r in chunk) if len(chunk) > 1 else 0)
-                rows = [r | {"data": None if x is None else r["data"], "error_code": x and x[0], "error_message": x and x[1]} for r, x in send(chunk, sender, backoff, me.attempts)]
-                yield pa.RecordBatch.from_pylist(rows, schema=fields)
-
-        rows = df.select("file_id", "end_offset", "partition_key", F.col("data").cast("binary").alias("data"))
-        if self.threads > 1:
+            backoff, task = Backoff(me.first_ms, me.most_ms, failures=before), TaskContext.get().partitionId()
+            for call, chunk in enumerate(me.chunks(r for b in batches for r in b.to_pylist())):
+                try:
+                    batching.check_size(sum(len(r["data"] or b"") for r in chunk))
+                    done = send(chunk, sender, backoff, me.attempts)
+                except batching.TooLarge as e:
+                    done = [(r, (type(e).__name__, str(e))) for r in chunk]
+                rows = [r | {"data": None if x is None else r["data"], "error_code": x and x[0], "error_message": x and x[1], "task": task, "call": call, "pace": backoff.failures} for r, x in done]
+                yield pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows], schema=fields)
+
+        buffers = [c for c in ("lane", "batch_no") if c in df.columns]
+        rows = df.select("file_id", "end_offset", "partition_key", F.col("data").cast("binary").alias("data"), *buffers)
+        if buffers:
+            rows = rows.repartition(self.threads, "lane").sortWithinPartitions(*buffers, "file_id", "end_offset")
+        elif self.threads > 1:
             rows = rows.repartition(self.threads)
-        out = rows.mapInArrow(run, "file_id string, end_offset long, partition_key string, data binary, error_code string, error_message string")
+        out = rows.mapInArrow(run, "file_id string, end_offset long, partition_key string, data binary, error_code string, error_message string, task int, call long, pace double")
         # the payload of what failed is kept with its error: the dead letters
         out.write.mode("overwrite").parquet(f"{self.results}/batch_id={batch_id}")
         if self.log_level is not None:
             logging.getLogger("logloom.sink").log(self.log_level, "batch %d delivered", batch_id)
 
 
+    def pace_after(self, spark: SparkSession, batch_id: int) -> float:
+        """The highest failure count with which a task of a micro-batch ended; 0 where none was written."""
+        try:
+            rows = spark.read.parquet(f"{self.results}/batch_id={batch_id}")
+        except AnalysisException:
+            return 0.0
+        return rows.groupBy("task").agg(F.max_by("pace", "call").alias("pace")).agg(F.coalesce(F.max("pace"), F.lit(0.0))).first()[0]
+
+
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that writes a batch under its id: replays overwrite themselves."""
 

@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -330,3 +331,51 @@ def test_natural_order_of_long_numbers(spark):
     names = ["f9", "f10", "f" + "9" * 25, "f1" + "0" * 25, "f0" * 1 + "10x", "e99"]
     got = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(natural_key(F.col("n")), "n").collect()]
     assert got == ["e99", "f9", "f10", "f010x", "f" + "9" * 25, "f1" + "0" * 25]
+
+
+def test_flow_with_running_buffers(spark, tmp_path):
+    """Records of several lines and batches that span micro-batches, delivered buffer by buffer."""
+    logs, results = tmp_path / "logs", str(tmp_path / "results")
+    logs.mkdir()
+    f = flow({"filePattern": f"{logs}/*.log", "stream": "s", "multiLineStartPattern": "E ", "maxBufferSizeRecords": 3, "maxBufferAgeMillis": 60_000})
+    calls = str(tmp_path / "calls")
+    os.makedirs(calls)
+
+    def sender(records):
+        import uuid
+
+        with open(f"{calls}/{uuid.uuid4().hex}", "wb") as out:
+            out.write(b"|".join(r["data"] for r in records))
+        return [None] * len(records)
+
+    q = flows.start(spark, f, flows.delivery(f, sender, results), str(tmp_path / "checkpoint"), running=True)
+    sent = lambda: sorted(open(f"{calls}/{n}", "rb").read() for n in os.listdir(calls))
+    end = time.time() + 90
+    try:
+        for part in (b"E 1\n more\nE 2\n", b" of 2\nE 3\nE 4\n", b"E 5\nE 6\nE 7\n"):
+            with (logs / "a.log").open("ab") as out:
+                out.write(part)
+            time.sleep(4)
+        while len(sent()) < 2 and time.time() < end:
+            assert q.exception() is None
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    assert sent() == [b"E 1\n more|E 2\n of 2|E 3", b"E 4|E 5|E 6"]
+    with pytest.raises(ValueError):
+        flows.start(spark, f, flows.delivery(f, sender, results), str(tmp_path / "other"), once=True, running=True)
+
+
+def test_pace_goes_on_in_the_next_batch(spark, tmp_path):
+    rows = spark.createDataFrame([("f", i, b"x" * (10 if i else 6 << 20), "k") for i in range(6)], "file_id string, end_offset long, data binary, partition_key string").coalesce(2)
+    d = sink.Delivery(lambda records: [("Busy", "later")] * len(records), str(tmp_path / "r"), attempts=2, first_ms=0)
+    d(rows, 0)
+    first = spark.read.parquet(f"{tmp_path}/r/batch_id=0")
+    assert first.where("end_offset = 0").select("error_code").first()[0] == "TooLarge"  # a lone record beyond a call
+    assert first.agg(F.max("pace")).first()[0] == 2.0 == d.pace_after(spark, 0)
+    # another object, as after a restart, begins where those failures left
+    again = sink.Delivery(lambda records: [("Busy", "later")] * len(records), str(tmp_path / "r"), attempts=1, first_ms=0)
+    again(rows.where("end_offset = 1"), 1)
+    assert again.pace_after(spark, 1) == 3.0 and again.pace_after(spark, 7) == 0.0
+    sink.Delivery(lambda records: [None] * len(records), str(tmp_path / "r"), first_ms=0)(rows.where("end_offset = 1"), 2)
+    assert again.pace_after(spark, 2) == 0.0  # a success divides the count by ten
