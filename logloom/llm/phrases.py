@@ -37,8 +37,10 @@ from logloom.llm.folds import let
 LONGEST = 5
 #: A-Z becomes a-z, tabs are spaces, and what separates pieces is a line feed.
 TEXT_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
+#: No word of a piece, as it separates pieces.
+BETWEEN = b"\n"
 #: Sums that a task holds before it passes them on.
-HELD = 500_000
+HELD = 1_000_000
 #: Phrases of a level that are sent to all tasks at most, and their bytes.
 SENT_ROWS, SENT_BYTES = 400_000, 16 << 20
 #: Memory of duckdb in a task, and positions that a bucket should have at most.
@@ -65,7 +67,7 @@ def summed(rows: Iterator[tuple[str, list[bytes], int]]) -> Iterator[pa.RecordBa
         else:
             for p in found:
                 counts[p] += weight
-        if n % 256 == 255 and sum(map(len, held.values())) > HELD:
+        if (n % 256 == 255 or len(found) > 1000) and sum(map(len, held.values())) > HELD:
             yield from out()
     yield from out()
 
@@ -91,22 +93,39 @@ def phrases(words: list[bytes], k: int) -> list[bytes]:
     return [b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
 
 
-def runs(words: list[bytes], good: set[bytes] | set[int], k: int, places: bool = False) -> list[list[bytes]]:
+def runs(words: list[bytes], good: set[bytes] | set[int] | dict[bytes, set[bytes]], k: int, places: bool = False) -> list[list[bytes]]:
     """The longest runs of at least k words whose phrases of k-1 words are all good (with
-    `places`, `good` has the good positions)."""
-    n = len(words) - k + 2
-    flags = bytes(i in good for i in range(n)) if places else bytes([p in good for p in phrases(words, k - 1)])
+    `places`, `good` has the good positions; pairs may be given as first word -> second words)."""
+    if places:
+        flags = bytes(i in good for i in range(len(words) - k + 2))
+    elif isinstance(good, dict):
+        none: set[bytes] = set()
+        flags = bytes([b in good.get(a, none) for a, b in pairwise(words)])
+    else:
+        flags = bytes([p in good for p in phrases(words, k - 1)])
     return [words[m.start() : m.end() + k - 2] for m in re.finditer(rb"\x01{2,}", flags)]
 
 
-def each(df: DataFrame, use: Callable[..., Iterable[tuple[str, list[bytes], int]]]) -> DataFrame:
-    """The partly summed phrases of what `use` makes of (lang, words, weight, *more) of each row."""
+def each(df: DataFrame, use: Callable[..., Iterable[tuple[str, list[bytes], int]]], together: bool = False) -> DataFrame:
+    """The partly summed phrases of what `use` makes of (lang, words, weight, *more) of each row;
+    with `together` of the rows of a slice that agree in lang and weight, with BETWEEN as a word
+    between two rows."""
     rows = df.select("lang", "phrase", "weight", *[c for c in df.columns if c not in ("id", "lang", "phrase", "weight")])
 
+    def of(part: pa.RecordBatch) -> Iterator[tuple]:
+        columns = [part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in part.columns[2:])]
+        if not together:
+            for lang, phrase, *more in zip(*columns, strict=True):
+                yield lang, phrase.split(b" "), *more
+            return
+        alike: dict[tuple[str, int], list[bytes]] = {}
+        for lang, phrase, weight in zip(*columns, strict=True):
+            alike.setdefault((lang, weight), []).append(phrase)
+        for (lang, weight), found in alike.items():
+            yield lang, (b" " + BETWEEN + b" ").join(found).split(b" "), weight
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (part for batch in batches for part in slices(batch, 1))
-        each_row = (row for part in parts for row in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in part.columns[2:]), strict=True))
-        return summed(x for lang, phrase, *more in each_row for x in use(lang, phrase.split(b" "), *more))
+        return summed(x for batch in batches for part in slices(batch, 1) for row in of(part) for x in use(*row))
 
     return rows.mapInArrow(run, SCHEMA)
 
@@ -122,16 +141,21 @@ def asked(source: DataFrame, passed: DataFrame, k: int) -> DataFrame:
     return source.join(answers, "id")
 
 
-def kept(source: DataFrame, passed: DataFrame, k: int) -> tuple[DataFrame, Callable[..., list[list[bytes]]]]:
-    """The rows of `source`, and what gives the runs of a row whose phrases of k-1 words all passed."""
+def kept(source: DataFrame, passed: DataFrame, k: int) -> tuple[DataFrame, Callable[..., list[list[bytes]]], bool]:
+    """The rows of `source`, what gives the runs of a row whose phrases of k-1 words all passed,
+    and whether rows may be taken together."""
     n, size = passed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
     if n > SENT_ROWS or size > SENT_BYTES:
-        return asked(source, passed, k), lambda lang, words, places: runs(words, set(places), k, places=True)
-    by_lang: dict[str, set[bytes]] = {}
+        return asked(source, passed, k), lambda lang, words, places: runs(words, set(places), k, places=True), False
+    by_lang: dict[str, set[bytes] | dict[bytes, set[bytes]]] = {}
     for r in passed.select("lang", F.col("phrase").cast("binary")).toLocalIterator():
-        by_lang.setdefault(r[0], set()).add(bytes(r[1]))
+        if k == 3:
+            first, second = bytes(r[1]).split(b" ")
+            by_lang.setdefault(r[0], {}).setdefault(first, set()).add(second)
+        else:
+            by_lang.setdefault(r[0], set()).add(bytes(r[1]))
     sent = source.sparkSession.sparkContext.broadcast(by_lang)
-    return source, lambda lang, words: runs(words, sent.value.get(lang, set()), k)
+    return source, lambda lang, words: runs(words, sent.value.get(lang, set()), k), True
 
 
 def counts(partial: DataFrame, least: int, buckets: int) -> DataFrame:
@@ -167,13 +191,13 @@ def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     totals = staged(source.groupBy("lang").agg(F.sum(F.col("weight") * size).alias("n"), F.sum(size).alias("positions")), "phrases-totals")
     positions = totals.agg(F.coalesce(F.sum("positions"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-positions // BUCKET_POSITIONS))
-    levels = [staged(counts(each(source, lambda lang, words, weight: ((lang, words, weight),)), least, buckets), "phrases-1")]
+    levels = [staged(counts(each(source, lambda lang, words, weight: ((lang, [w for w in words if w != BETWEEN], weight),), together=True), least, buckets), "phrases-1")]
     for k in range(2, LONGEST + 1):
-        rows, good = kept(source, levels[-1], k)
+        rows, good, together = kept(source, levels[-1], k)
         if k == 2:
-            partial = each(rows, lambda lang, words, weight, *places, good=good: ((lang, phrases(r, 2), weight) for r in good(lang, words, *places)))
+            partial = each(rows, lambda lang, words, weight, *places, good=good: ((lang, phrases(r, 2), weight) for r in good(lang, words, *places)), together)
         else:  # what is left is little: identical runs become one
-            left = each(rows, lambda lang, words, weight, *places, good=good: ((lang, [b" ".join(r) for r in good(lang, words, *places)], weight),))
+            left = each(rows, lambda lang, words, weight, *places, good=good: ((lang, [b" ".join(r) for r in good(lang, words, *places)], weight),), together)
             before, source = source, staged(left.groupBy("lang", "phrase").agg(F.sum("weight").alias("weight")).withColumn("id", F.monotonically_increasing_id()), f"phrases-runs-{k}")
             unstaged(before)
             partial = each(source, lambda lang, words, weight, k=k: ((lang, phrases(words, k), weight),))

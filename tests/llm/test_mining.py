@@ -119,6 +119,7 @@ def test_runs_of_good_phrases():
     words = [b"a", b"b", b"c", b"d", b"e"]
     assert phrases.runs(words, {b"a", b"b", b"d", b"e"}, 2) == [[b"a", b"b"], [b"d", b"e"]]
     assert phrases.runs(words, {b"a b", b"b c", b"d e"}, 3) == [[b"a", b"b", b"c"]] == phrases.runs(words, {0, 1, 3}, 3, places=True)
+    assert phrases.runs([*words[:3], phrases.BETWEEN, *words[1:]], {b"a": {b"b"}, b"b": {b"c"}, b"d": {b"e"}}, 3) == [[b"a", b"b", b"c"]]
     assert phrases.runs(words, {0, 1, 2, 3}, 3, places=True) == [words] and phrases.runs([b"a"], {b"a"}, 2) == []
 
 
