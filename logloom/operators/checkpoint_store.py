@@ -31,9 +31,9 @@ class CheckpointStore:
         self.spark, self.path, self.buckets, self.days = spark, path.rstrip("/"), buckets, days
 
     @classmethod
-    def of(cls, spark: SparkSession, path: str, config) -> CheckpointStore:
-        """The store of a configuration, with its time to live."""
-        return cls(spark, path, days=config.checkpoint_time_to_live_days)
+    def of(cls, spark: SparkSession, path: str, flow) -> CheckpointStore:
+        """The store of a flow, with its time to live."""
+        return cls(spark, path, days=flow.checkpoint_time_to_live_days)
 
     # --- files
 

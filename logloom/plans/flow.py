@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import converters, keys
 from logloom.operators import framing
+from logloom.plans import whole
 from logloom.plans.config import Config, Flow
 from logloom.sources import files
 from logloom.streaming import sink, state, tail
@@ -97,11 +98,16 @@ def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], N
     return writer.start()
 
 
-def start_all(spark: SparkSession, config: Config, deliver: Callable[[Flow], Callable[[DataFrame, int], None]], checkpoints: str, once: bool = False) -> dict:
-    """Start the streams of all flows of files that grow: flow id -> query. Each has a
-    checkpoint folder of its own, named by a digest of its id, and the delivery made for it."""
-    grows = [f for f in config.flows if f.file_appendable]
-    return {f.id: start(spark, f, deliver(f), f"{checkpoints.rstrip('/')}/{hashlib.sha256(f.id.encode()).hexdigest()[:16]}", once) for f in grows}
+def start_all(spark: SparkSession, config: Config, deliver: Callable[[Flow], Callable[[DataFrame, int], None]], checkpoints: str, once: bool = False, target: Callable[[Flow], str] | None = None, clean: bool = False) -> dict:
+    """Start the queries of all flows: flow id -> query. Each has a checkpoint folder of its own,
+    named by a digest of its id, and the delivery made for it. Flows of whole files are copied to
+    the folder that `target` names for them, cleaned up with `clean`; without `target` they
+    aren't started."""
+    folder = lambda f: f"{checkpoints.rstrip('/')}/{hashlib.sha256(f.id.encode()).hexdigest()[:16]}"
+    out = {f.id: start(spark, f, deliver(f), folder(f), once) for f in config.flows if f.file_appendable}
+    if target is not None:
+        out |= {f.id: whole.start(spark, f, deliver(f), folder(f), target(f), once, clean) for f in config.flows if not f.file_appendable}
+    return out
 
 
 def all_batches(spark: SparkSession, config: Config) -> DataFrame:

@@ -9,14 +9,17 @@ made already is made again under the same key.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.functions import keys
 from logloom.operators.snapshot import stable_files
 from logloom.plans.config import Flow
 from logloom.sources.files import listing
-from logloom.streaming import sink
+from logloom.streaming import polls, sink
 
 SNAPSHOT = "file_id string, path string, name string, size long, mtime_ms long, last_offset long, last_check_ms long"
 
@@ -81,3 +84,49 @@ def upload(spark: SparkSession, flow: Flow, state: str, target: str, now_ms: int
         sink.clean_all(notices, delete=flow.delete_policy == "immediate", move_to=flow.file_move_to_dir, suffix=flow.file_suffix)
     notices = notices.select("path", "data", "size")
     return notices if flow.destination.strip() else notices.where(F.lit(False))
+
+
+class Uploads:
+    """A foreachBatch function over polls: uploads what has become stable and delivers the notices.
+
+    A micro-batch that is run again delivers the notices of the poll it made, if that poll's copies were
+    all made; else it polls anew, which names again what wasn't sent. So a stop between copying
+    and delivering loses no notice."""
+
+    def __init__(self, flow: Flow, state: str, target: str, deliver: Callable[[DataFrame, int], None], clean: bool = False):
+        self.flow, self.state, self.target, self.deliver, self.clean = flow, state.rstrip("/"), target, deliver, clean
+
+    def made_by(self, spark: SparkSession, batch_id: int) -> int:
+        """The number of the poll that a micro-batch made before, 0 without one."""
+        try:
+            return spark.read.parquet(f"{self.state}_batches/batch_id={batch_id}").first()[0]
+        except AnalysisException:
+            return 0
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        spark, flow = df.sparkSession, self.flow
+        row = df.first()
+        if row is None:
+            return
+        made = self.made_by(spark, batch_id)
+        where = f"{uploads(self.state)}/poll={made}"
+        if made and last_poll(spark, uploads(self.state)) >= made:
+            notices = spark.read.schema(NOTICE).parquet(where)
+            if self.clean:
+                sink.clean_all(notices, delete=flow.delete_policy == "immediate", move_to=flow.file_move_to_dir, suffix=flow.file_suffix)
+            if not flow.destination.strip():
+                notices = notices.where(F.lit(False))
+        else:
+            spark.range(1).select(F.lit(last_poll(spark, self.state) + 1).cast("long").alias("poll")).write.mode("overwrite").parquet(f"{self.state}_batches/batch_id={batch_id}")
+            notices = upload(spark, flow, self.state, self.target, row["poll_ms"], self.clean)
+        rows = notices.select(F.col("path").alias("file_id"), F.col("path").alias("file_path"), F.lit(0).cast("long").alias("start_offset"), F.col("size").alias("end_offset"), "data", keys.key(flow.partition_key_option, F.col("data"), F.col("path")).alias("partition_key"))
+        self.deliver(rows, batch_id)
+
+
+def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, target: str, once: bool = False, clean: bool = False):
+    """Start a flow of whole files as a streaming query with a checkpoint, a poll a micro-batch.
+    The state of its files lies beside the checkpoint."""
+    polls.register(spark)
+    writer = spark.readStream.format("polls").load().writeStream.foreachBatch(Uploads(flow, f"{checkpoint.rstrip('/')}_files", target, deliver, clean)).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flow.min_time_between_polls_millis} milliseconds")
+    return writer.start()

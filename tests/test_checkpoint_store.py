@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators import checkpoint
 from logloom.operators.checkpoint_store import ROW, CheckpointStore
+from logloom.plans.config import flow
 
 DAY = dt.datetime(2024, 5, 1)
 
@@ -58,10 +59,8 @@ def test_an_upsert_writes_only_its_rows(spark, tmp_path):
 
 
 def test_compaction_honours_the_time_to_live(spark, tmp_path):
-    class Config:
-        checkpoint_time_to_live_days = 3
-
-    store = CheckpointStore.of(spark, f"file://{tmp_path}/store", Config)
+    f = flow({"filePattern": "/x/*.log", "stream": "s", "checkpointTimeToLiveDays": 3})
+    store = CheckpointStore.of(spark, f"file://{tmp_path}/store", f)
     store.upsert(frame(spark, [("f", "old", 1, 0), ("f", "new", 2, 8), ("f", "edge", 3, 7)]), 0)
     # a generation that isn't whole doesn't count
     (tmp_path / "store" / "gen=1" / "version=0").mkdir(parents=True)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import converters
 from logloom.plans import flow as flows
+from logloom.plans import whole
 from logloom.plans.config import flow, load
 from logloom.streaming import sink, tail
 
@@ -254,8 +255,6 @@ def test_config(tmp_path):
 
 
 def test_whole_files_when_stable(spark, tmp_path):
-    from logloom.plans import whole
-
     logs = tmp_path / "logs"
     logs.mkdir()
     f = flow({"filePattern": f"{logs}/*", "stream": "s", "isFileAppendable": False, "maxFileCheckingMillis": 1000, "dumpDirectory": "d"})
@@ -273,8 +272,6 @@ def test_whole_files_when_stable(spark, tmp_path):
 
 
 def test_whole_files_survive_a_stop_between_any_two_steps(spark, tmp_path, monkeypatch):
-    from logloom.plans import whole
-
     logs = tmp_path / "logs"
     logs.mkdir()
     (logs / "a.log").write_text("x")
@@ -379,3 +376,38 @@ def test_pace_goes_on_in_the_next_batch(spark, tmp_path):
     assert again.pace_after(spark, 1) == 3.0 and again.pace_after(spark, 7) == 0.0
     sink.Delivery(lambda records: [None] * len(records), str(tmp_path / "r"), first_ms=0)(rows.where("end_offset = 1"), 2)
     assert again.pace_after(spark, 2) == 0.0  # a success divides the count by ten
+
+
+def test_whole_file_flows_are_queries(spark, tmp_path):
+    """Started with the others, they go on after a restart; a replay delivers its notices again."""
+    logs, target, results = tmp_path / "logs", tmp_path / "target", str(tmp_path / "results")
+    logs.mkdir()
+    (logs / "a.bin").write_bytes(b"abc")
+    c = load('{"flows": [{"filePattern": "%s/*", "stream": "s", "isFileAppendable": false, "maxFileCheckingMillis": 1, "minTimeBetweenFilePollsMillis": 100}]}' % logs)
+    (f,) = c.flows
+    assert flows.start_all(spark, c, lambda f: sink.parquet_sink(results), str(tmp_path / "checkpoints")) == {}
+    told = lambda: sorted(r["data"] for r in spark.read.schema("data string").parquet(results).collect()) if os.path.isdir(results) else []
+
+    def run(want):
+        (q,) = flows.start_all(spark, c, lambda f: sink.parquet_sink(results), str(tmp_path / "checkpoints"), target=lambda f: str(target)).values()
+        end = time.time() + 90
+        try:
+            while told() != want:
+                assert time.time() < end and q.exception() is None
+                time.sleep(0.3)
+        finally:
+            q.stop()
+
+    run(["a.bin"])
+    assert (target / "a.bin").read_bytes() == b"abc"
+    (logs / "b.bin").write_bytes(b"defg")
+    run(["a.bin", "b.bin"])
+    # a stop between copying and delivering: the same micro-batch delivers its poll's notices
+    made = whole.Uploads(f, str(tmp_path / "state"), str(target), lambda df, n: None)
+    poll_row = lambda ms: spark.createDataFrame([(ms,)], "poll_ms long")
+    now = int(time.time() * 1000) + 10_000
+    made(poll_row(now), 0)
+    made(poll_row(now + 60_000), 1)
+    again = []
+    whole.Uploads(f, str(tmp_path / "state"), str(target), lambda df, n: again.extend(r["data"] for r in df.collect()))(poll_row(now + 60_000), 1)
+    assert sorted(again) == ["a.bin", "b.bin"]
