@@ -350,9 +350,22 @@ def stable_files(t):
     return snapshot.stable_files(*snapshots(t), now_ms=9000, wait_ms=5000)
 
 
-@query("SELECT true AS must_refresh")
+@query("""WITH o AS (SELECT doc_id, octet_length(encode(text)) AS size FROM documents), ends AS (SELECT min(doc_id) AS oldest, max(doc_id) AS newest FROM o),
+n AS (SELECT kind, doc_id, size + CASE WHEN kind = 'newest_grew' AND doc_id = newest OR kind = 'another_grew' AND doc_id = oldest THEN 1 WHEN kind = 'shrank' AND doc_id = newest THEN -1 ELSE 0 END AS size
+  FROM o, ends, (SELECT unnest(['same', 'newest_grew', 'another_grew', 'shrank', 'gone']) AS kind) WHERE NOT (kind = 'gone' AND doc_id = oldest))
+SELECT kind, bool_or(n.size IS NULL OR n.size < o.size OR (n.size > o.size AND o.doc_id <> newest)) AS must_refresh
+FROM (SELECT DISTINCT kind FROM n) JOIN o ON true LEFT JOIN n USING (kind, doc_id), ends GROUP BY kind""")
 def snapshot_must_refresh(t):
-    return snapshot.must_refresh(*snapshots(t))
+    """The listing against itself and against changed ones: both outcomes."""
+    old = t("documents").select("doc_id", F.concat(F.lit("/d/f"), F.col("doc_id").cast("string"), F.lit(".log")).alias("path"), F.col("doc_id").cast("string").alias("file_id"), (F.col("doc_id") * 1000).alias("mtime_ms"), F.octet_length("text").cast("long").alias("size"))
+    oldest, newest = (t("documents").agg(f("doc_id")).scalar() for f in (F.min, F.max))
+    grown = lambda which, by: old.withColumn("size", F.col("size") + F.when(F.col("doc_id") == which, by).otherwise(0))
+    kinds = {"same": old, "newest_grew": grown(newest, 1), "another_grew": grown(oldest, 1), "shrank": grown(newest, -1), "gone": old.where(F.col("doc_id") != oldest)}
+    out = None
+    for kind, new in kinds.items():
+        row = snapshot.must_refresh(old, new).select(F.lit(kind).alias("kind"), "must_refresh")
+        out = row if out is None else out.unionAll(row)
+    return out
 
 
 @query("SELECT directory, name, CAST(row_number() OVER (PARTITION BY directory ORDER BY mtime_ms, length(name), name) AS INTEGER) AS position FROM (SELECT source AS directory, 'app.log.' || doc_id AS name, doc_id % 3 AS mtime_ms FROM documents)")
