@@ -36,9 +36,11 @@ def latest_facts(rows: DataFrame, offset: Column) -> DataFrame:
 
 
 def latest_per_file(checkpoints: DataFrame) -> DataFrame:
-    """The row of latest time of each file, and of equal times that of the last path."""
-    w = Window.partitionBy(*KEY).orderBy(F.col("mtime_ms").desc(), F.col("path").desc())
-    return checkpoints.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The row of latest time of each file, and of equal times that of the last path (of equal
+    paths the largest of the other columns). Rows of a key are combined before the shuffle."""
+    facts = [c for c in checkpoints.columns if c not in (*KEY, "mtime_ms", "path")]
+    newest = F.max(F.struct("mtime_ms", "path", *facts)).alias("_row")
+    return checkpoints.groupBy(*KEY).agg(newest).select(*KEY, "_row.*").select(*checkpoints.columns)
 
 
 def latest_of_flow(checkpoints: DataFrame, flow: str) -> DataFrame:
