@@ -2,29 +2,33 @@
 
 Fixed values: label, keyword (a word that every text of the pattern holds), pattern over words,
 confidence. The wordings are those of the public license texts; a label that isn't a license's
-name says what kind of clause was found.
+name says what kind of clause was found. Sentences that several licenses share have the labels
+of `GENERAL`, which stand only where no license is named.
 """
 
+GENERAL = ("gnu-notice", "mit-notice", "bsd-notice", "license-notice", "disclaimer")
+
 NOTICES = [
     # MIT, X11 and ISC
     ("mit", "deal", "to deal in the software without restriction including without limitation the rights to use", 1.0),
-    ("mit", "sublicense", "(?:use )?copy modify merge publish distribute sublicense and or sell copies of the software", 1.0),
-    ("mit", "furnished", "permit persons to whom the software is furnished to do so", 1.0),
+    ("mit-notice", "sublicense", "(?:use )?copy modify merge publish distribute sublicense and or sell copies of the software", 1.0),
+    ("mit-notice", "furnished", "permit persons to whom the software is furnished to do so", 1.0),
     ("mit", "portions", "this permission notice shall be included in all copies or substantial portions of the software", 1.0),
     ("mit-0", "attribution", "mit no attribution", 0.9),
-    ("mit", "noninfringement", "merchantability fitness for a particular purpose and noninfringement", 0.8),
+    ("disclaimer", "noninfringement", "merchantability fitness for a particular purpose and noninfringement", 0.8),
     ("x11", "advertising", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software", 1.0),
     ("isc", "fee", "for any purpose with or without fee is hereby granted provided that the above copyright notice", 1.0),
     ("0bsd", "fee", "use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided", 1.0),
     ("isc", "tortious", "whether in an action of contract negligence or other tortious action", 0.9),
+    ("ncsa", "deal", "to deal with the software without restriction including without limitation the rights to use", 1.0),
     ("hpnd", "supporting", "both that copyright notice and this permission notice appear in supporting documentation", 1.0),
     ("hpnd", "suitability", "makes no representations about the suitability of this software for any purpose", 0.9),
     ("ntp", "ntp", "ntp licen[sc]e", 0.8),
     ("curl", "curl", "curl licen[sc]e", 0.8),
     # BSD
-    ("bsd", "retain", "redistributions of source code must retain the (?:above|accompanying) copyright notice", 1.0),
-    ("bsd", "reproduce", "redistributions in binary form must reproduce the (?:above|accompanying) copyright notice", 1.0),
-    ("bsd", "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission", 1.0),
+    ("bsd-notice", "retain", "redistributions of source code must retain the (?:above|accompanying) copyright notice", 1.0),
+    ("bsd-notice", "reproduce", "redistributions in binary form must reproduce the (?:above|accompanying) copyright notice", 1.0),
+    ("bsd-notice", "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission", 1.0),
     ("bsd-4-clause", "acknowledgement", "all advertising materials mentioning features or use of this software must display the following acknowledgement", 1.0),
     ("bsd-4-clause", "california", "this product includes software developed by the university of california", 1.0),
     ("bsd", "regents", "provided by the regents and contributors as is", 0.9),
@@ -34,20 +38,20 @@ NOTICES = [
     ("bsd-2-clause-patent", "patent", "bsd 2 clause (?:plus )?patent", 0.9),
     ("bsd-3-clause-clear", "clear", "(?:the )?clear bsd(?: licen[sc]e)?", 0.8),
     # GNU family
-    ("gpl", "redistribute", "this program is free software you can redistribute it", 0.9),
-    ("gpl", "either", "either version [123](?: 0)? of the license or (?:at your option )?any later version", 0.9),
-    ("gpl", "useful", "distributed in the hope that it will be useful but without any warranty", 0.9),
+    ("gnu-notice", "redistribute", "this (?:program|library) is free software you can redistribute it", 0.9),
+    ("gnu-notice", "either", "either version [123](?: 0)? of the license or (?:at your option )?any later version", 0.9),
+    ("gnu-notice", "useful", "distributed in the hope that it will be useful but without any warranty", 0.9),
     ("gpl", "received", "you should have received a copy of the gnu general public license", 1.0),
-    ("gpl", "franklin", "free software foundation inc 51 franklin (?:street|st) fifth floor boston", 0.9),
-    ("gpl", "temple", "free software foundation inc 59 temple place(?: suite 330)? boston", 0.9),
-    ("gpl", "mass", "free software foundation inc 675 mass ave cambridge", 0.9),
+    ("gnu-notice", "franklin", "free software foundation inc 51 franklin (?:street|st) fifth floor boston", 0.9),
+    ("gnu-notice", "temple", "free software foundation inc 59 temple place(?: suite 330)? boston", 0.9),
+    ("gnu-notice", "mass", "free software foundation inc 675 mass ave cambridge", 0.9),
     ("gpl", "gplv2", "gplv2(?: only| or later)?", 0.9),
     ("gpl", "gplv3", "gplv3(?: only| or later)?", 0.9),
     ("gpl", "gpl", "gpl (?:v )?[123](?: 0)?(?: only| or later)?", 0.9),
     ("gpl", "preamble", "preamble the gnu general public license is a free copyleft license", 1.0),
-    ("gpl", "interactive", "if the program is interactive make it output a short notice", 0.8),
-    ("gpl", "conveying", "conveying (?:verbatim copies|modified source versions|non source forms)", 0.8),
-    ("gpl", "propagate", "to propagate a work means to do anything with it", 0.9),
+    ("gnu-notice", "interactive", "if the program is interactive make it output a short notice", 0.8),
+    ("gnu-notice", "conveying", "conveying (?:verbatim copies|modified source versions|non source forms)", 0.8),
+    ("gnu-notice", "propagate", "to propagate a work means to do anything with it", 0.9),
     ("gpl-exception", "classpath", "classpath exception", 0.9),
     ("gpl-exception", "linking", "linking (?:this library|this program) statically or dynamically with other modules", 0.9),
     ("gpl-exception", "bison", "bison exception", 0.8),
@@ -66,9 +70,9 @@ NOTICES = [
     ("fdl", "document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 1.0),
     # Apache and Mozilla
     ("apache", "obtain", "you may obtain a copy of the license at(?: http| https)? www apache org licenses license 2 0", 1.0),
-    ("apache", "conditions", "without warranties or conditions of any kind either express or implied", 0.9),
-    ("apache", "governing", "see the license for the specific language governing permissions and limitations", 0.9),
-    ("apache", "agreed", "unless required by applicable law or agreed to in writing software", 0.9),
+    ("disclaimer", "conditions", "without warranties or conditions of any kind either express or implied", 0.9),
+    ("license-notice", "governing", "see the license for the specific language governing permissions and limitations", 0.9),
+    ("license-notice", "agreed", "unless required by applicable law or agreed to in writing software", 0.9),
     ("apache", "contributor", "licensed to the apache software foundation asf under one or more contributor license agreements", 1.0),
     ("apache", "patent", "perpetual worldwide non exclusive no charge royalty free irrevocable (?:except as stated in this section )?patent license", 0.9),
     ("apache", "prominent", "you must cause any modified files to carry prominent notices stating that you changed the files", 0.9),
@@ -188,7 +192,7 @@ NOTICES = [
     ("proprietary", "reproduced", "no part of this (?:publication|work|book|document) may be reproduced", 0.8),
     # clauses of many licenses
     ("disclaimer", "merchantability", "(?:implied )?warranties of merchantability", 0.5),
-    ("disclaimer", "liable", "in no event shall the (?:authors or copyright holders|copyright holder|author|contributors) be liable", 0.5),
+    ("disclaimer", "liable", "in no event shall the (?:authors or copyright holders|contributors or copyright holders|copyright (?:holders|holder|owner)(?: or contributors)?|regents or contributors|author|contributors) be liable", 0.5),
     ("disclaimer", "warranty", "the software is provided as is without warranty of any kind", 0.6),
     ("disclaimer", "negligence", "whether in contract strict liability or tort including negligence or otherwise", 0.5),
     ("disclaimer", "procurement", "procurement of substitute goods or services", 0.5),

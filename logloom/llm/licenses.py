@@ -1,10 +1,12 @@
 """License scans by ordered signature rules, with DataFrame functions only.
 
 A text is lower-cased (A-Z) and becomes words, each between two spaces, so that a rule's regex
-matches whole words without looking around. A cheap pattern passes only texts that could match
-any rule; in those, a rule runs only where its keyword occurs. A rule's matches are intervals of
-words. An interval inside another (or equal to one of a rule that stands earlier) is suppressed,
-so that a full notice outranks the names it holds, and a denial outranks the notice it denies.
+matches whole words without looking around. Only texts that hold a literal of the gate could
+match any rule; in those, a rule runs only where its keyword and the longest literal part of its
+pattern occur. A rule's matches are intervals of words. An interval inside another (or equal to
+one of a rule that stands earlier) is suppressed, so that a full notice outranks the names it
+holds, and a denial outranks the notice it denies. Sentences that several licenses share have a
+general label, which stands only in texts where no license is named.
 
 Rows: a null text counts as empty; a text without words or without matches has no labels (empty
 strings), score 0 and null places. A very long text takes time in proportion to its length and
@@ -14,14 +16,13 @@ table gives no rows.
 
 from __future__ import annotations
 
-import json
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.folds import let, running, sums_before
-from logloom.llm.license_notices import NOTICES
+from logloom.llm.license_notices import GENERAL, NOTICES
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -84,7 +85,7 @@ LATER = "(?: or (?:any )?later(?: version)?)?"
 #: What a family's rules say around its name N or its identifier I: a denial first, then whole
 #: notices, then the bare name; with the confidence of the label.
 SHAPES = [
-    ("deny", "(?:not|never|no longer) (?:be )?(?:licensed|released|distributed|available|covered) (?:under|by) (?:the |an? )?N licen[sc]e" + VERSION, 0.0),
+    ("deny", "(?:not|never|nor|no longer) (?:be )?(?:licensed|released|distributed|available|covered) (?:under|by) (?:the |an? )?N licen[sc]e" + VERSION, 0.0),
     ("notice", "(?:dual )?licensed (?:to you )?under (?:the )?(?:terms of )?(?:the |an? )?N licen[sc]e" + VERSION + LATER, 1.0),
     ("release", "(?:released|distributed|published|available|provided|made available) under (?:the )?(?:terms of )?(?:the |an? )?N licen[sc]e" + VERSION + LATER, 1.0),
     ("terms", "(?:under|subject to|accept|per) the (?:terms|conditions|terms and conditions) (?:of|in) (?:the )?N licen[sc]e" + VERSION + LATER, 0.95),
@@ -95,7 +96,7 @@ SHAPES = [
 ]
 #: Rules that follow no shape: label, keyword, pattern, confidence.
 OTHERS = [
-    ("", "under", "(?:not|never|no longer) (?:be )?(?:licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons)(?: by)?", 0.0),
+    ("", "under", "(?:not|never|nor|no longer) (?:be )?(?:licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons)(?: by)?", 0.0),
     ("cc-by-nc-nd", "cc", "(?:licensed under )?(?:the )?cc by nc nd" + VERSION, 0.9),
     ("cc-by-nc-sa", "cc", "(?:licensed under )?(?:the )?cc by nc sa" + VERSION, 0.9),
     ("cc-by-nc", "cc", "(?:licensed under )?(?:the )?cc by nc" + VERSION, 0.9),
@@ -111,17 +112,36 @@ OTHERS = [
     ("cc-by", "creative", "creative commons attribution(?: licen[sc]e)?" + VERSION, 1.0),
     ("creative-commons", "creative", "creative commons(?: licen[sc]e)?" + VERSION, 0.6),
     ("public-domain", "domain", "(?:dedicated to|released into|placed in|in) the public domain", 0.9),
-    ("mit", "granted", "permission is hereby granted free of charge to any person obtaining a copy of this software", 1.0),
+    ("mit-notice", "granted", "permission is hereby granted free of charge to any person obtaining a copy of this software", 1.0),
     ("isc", "granted", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 1.0),
     ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted", 1.0),
     ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license", 1.0),
-    ("apache", "compliance", "you may not use this file except in compliance with the (?:apache )?license", 0.9),
+    ("license-notice", "compliance", "you may not use this file except in compliance with the (?:apache )?license", 0.9),
     ("proprietary", "reserved", "all rights reserved", 0.5),
     ("copyleft", "copyleft", "copyleft", 0.5),
 ]
-#: Every rule needs one of these somewhere in a text: those of the families and others, and the
-#: keywords of the notices.
-GATE = r"(?i)licen[sc]e|cc[^a-z0-9]+by|\bcc0|creative[^a-z0-9]+commons|public[^a-z0-9]+domain|is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribut|rights[^a-z0-9]+reserved|copyleft|not[^a-z0-9]+use[^a-z0-9]+this|under[^a-z0-9]+(?:(?:a|the)[^a-z0-9]+)?cc|(?:^|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?:" + "|".join(sorted({key for _, key, _, _ in NOTICES})) + r")(?:[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]|$)"
+#: Parts of words of which the gate takes the first that a rule's literals hold; else its keyword.
+HUBS = ("licen", "software", "copyright", "redistribut")
+
+
+def literals(pattern: str) -> list[str]:
+    """The parts of a pattern that every match holds as they stand, outside groups and classes."""
+    out, depth, i = [""], 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "[":
+            i = pattern.index("]", i)
+            out.append("")
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+            out.append("")
+        elif c in "?*+{":
+            out[-1] = out[-1][:-1]
+            out.append("")
+        elif depth == 0:
+            out[-1] += c
+        i += 1
+    return [x for x in out if x]
 
 
 def spaced(pattern: str) -> str:
@@ -137,9 +157,21 @@ def rules() -> list[tuple[int, str, str, str, float]]:
     return [(n, label, f" {key} ", spaced(pattern), sure) for n, (label, key, pattern, sure) in enumerate(out)]
 
 
-def words(text: Column) -> Column:
-    """The text's words in lower case (A-Z), each between two spaces."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+@cache
+def gate() -> list[str]:
+    """Every rule needs one of these in a prepared text."""
+    held = [(key[1:], literals(regex)) for _, _, key, regex, _ in rules()]
+    return sorted({next((hub for hub in HUBS if any(hub in x for x in parts)), key) for key, parts in held})
+
+
+def lowered(text: Column) -> Column:
+    """The text with A-Z in lower case, and nothing else changed."""
+    ascii = F.length(text) == F.octet_length(text)
+    return F.when(ascii, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def words(lower: Column) -> Column:
+    """A lower-cased text's words, each between two spaces."""
     joined = F.trim(F.regexp_replace(lower, BREAK, "  "))
     return F.when(joined == "", "").otherwise(F.concat(F.lit(" "), joined, F.lit(" ")))
 
@@ -148,27 +180,39 @@ def spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def intervals(text: Column, regex: Column, rank: Column) -> Column:
+def cut(text: Column, regex: str, rank: int) -> Column:
+    """What stands before each match, and the matches."""
+    return F.struct(F.lit(rank).alias("rank"), F.split(text, regex, -1).alias("before"), F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("found"))
+
+
+def intervals(cuts: Column) -> Column:
     """Words from first to last of each match, in order: array<struct<first, last, rank>>."""
-    pairs = F.arrays_zip(F.split(text, regex, -1).alias("before"), F.regexp_extract_all(text, regex, F.lit(0)).alias("found"))
+    pairs = F.arrays_zip(cuts["before"].alias("before"), cuts["found"].alias("found"))
     sized = F.transform(F.filter(pairs, lambda p: p["found"].isNotNull()), lambda p: F.struct(spaces(p["before"]).alias("before"), spaces(p["found"]).alias("found")))
 
     def place(p: Column, at: Column) -> Column:
         first = at + p["before"]
-        return F.struct((first / 2).cast("int").alias("first"), ((first + p["found"]) / 2 - 1).cast("int").alias("last"), rank.cast("int").alias("rank"))
+        return F.struct((first / 2).cast("int").alias("first"), ((first + p["found"]) / 2 - 1).cast("int").alias("last"), cuts["rank"].alias("rank"))
 
     return let(sized, lambda s: F.zip_with(s, sums_before(F.transform(s, lambda p: p["before"] + p["found"])), place))
 
 
-def detections(text: Column) -> Column:
-    """The intervals of all rules whose keyword occurs, without those inside others."""
-    by_key: dict[str, list] = {}
+def matched(name: str) -> Column:
+    """Cuts of all rules that match the text in column `name`. Each pattern stands as a literal
+    of its own, compiled once a task, and is tried only behind its keyword and longest literal
+    (both without the spaces before them, which are everywhere and slow the search down)."""
+    tried: dict[str, list[str]] = {}
     for rank, _, key, regex, _ in rules():
-        by_key.setdefault(key, []).append({"rank": rank, "regex": regex})
-    table = json.dumps([{"key": k, "rules": v} for k, v in by_key.items()])
-    known = F.from_json(F.lit(table), "array<struct<key:string,rules:array<struct<rank:int,regex:string>>>>")
-    present = F.flatten(F.transform(F.filter(known, lambda k: F.contains(text, k["key"])), lambda k: k["rules"]))
-    found = F.flatten(F.transform(present, lambda r: intervals(text, r["regex"], r["rank"])))
+        longest = max(literals(regex), key=len).lstrip()
+        found = f"named_struct('rank', {rank}, 'before', split({name}, r'{regex}', -1), 'found', regexp_extract_all({name}, r'{regex}', 0))"
+        tried.setdefault(key, []).append(f"CASE WHEN contains({name}, '{longest}') AND {name} RLIKE r'{regex}' THEN {found} END")
+    keyed = [f"CASE WHEN contains({name}, '{key.lstrip()}') THEN array({', '.join(some)}) END" for key, some in tried.items()]
+    return F.expr(f"filter(flatten(filter(array({', '.join(keyed)}), k -> k IS NOT NULL)), c -> c IS NOT NULL)")
+
+
+def detections(name: str) -> Column:
+    """The intervals of all rules that match, without those inside others."""
+    found = F.flatten(F.transform(matched(name), intervals))
     order = F.array_sort(F.transform(found, lambda d: F.struct(d["first"].alias("first"), (-d["last"]).alias("minus_last"), d["rank"].alias("rank"))))
     # inside another: what comes before it in this order reaches at least as far
     reach = lambda o: running(F.transform(o, lambda d: -d["minus_last"]), F.lit(-1), F.greatest, "int")
@@ -181,12 +225,17 @@ def scan(docs: DataFrame) -> DataFrame:
     detections: array<struct<first, last, rank>> by words and rank of the rule."""
     text = F.coalesce("text", F.lit(""))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    out = out.withColumn("n_words", F.regexp_count("text", F.lit(WORD_CASED)).cast("long"))
-    out = out.withColumn("prepared", F.when(F.col("text").rlike(GATE), words(F.col("text"))))
+    out = out.withColumn("lower", lowered(F.col("text")))
+    out = out.withColumn("words", words(F.col("lower")))
+    out = out.withColumn("n_words", (spaces(F.col("words")) / 2).cast("long"))
+    open_to = F.expr(" OR ".join(f"contains(words, '{part}')" for part in gate()))
+    out = out.withColumn("prepared", F.when(open_to, F.col("words")))
+    prepared = F.col("prepared")
     base = " (?:" + "|".join(BASE).replace(" ", "  ") + ") "
-    out = out.withColumn("base", F.when(F.col("prepared").isNotNull(), intervals(F.col("prepared"), F.lit(base), F.lit(-1))))
-    out = out.withColumn("phrases", F.when(F.col("prepared").isNotNull(), F.regexp_extract_all("prepared", F.lit(base), F.lit(0))))
-    out = out.withColumn("detections", F.when(F.col("prepared").isNotNull(), detections(F.col("prepared"))))
+    out = out.withColumn("cuts", F.when(prepared.isNotNull(), cut(prepared, base, -1)))
+    out = out.withColumn("base", F.when(prepared.isNotNull(), intervals(F.col("cuts"))))
+    out = out.withColumn("phrases", F.col("cuts")["found"])
+    out = out.withColumn("detections", F.when(prepared.isNotNull(), detections("prepared")))
     label_of = F.split(F.lit("|".join(r[1] for r in rules())), "\\|", -1)
     sure_of = F.split(F.lit("|".join(str(r[4]) for r in rules())), "\\|", -1).cast("array<double>")
     base_of = F.create_map(*[F.lit(x) for k, v in BASE.items() for x in (f" {k.replace(' ', '  ')} ", v)])
@@ -194,6 +243,8 @@ def scan(docs: DataFrame) -> DataFrame:
     own = F.coalesce(F.array_distinct(F.transform("detections", lambda d: F.get(label_of, d["rank"]))), F.array().cast("array<string>"))
     sure = F.array_max(F.transform("detections", lambda d: F.get(sure_of, d["rank"])))
     n = F.coalesce(F.size("base"), F.lit(0))
+    every = F.filter(F.array_union(base_labels, own), lambda x: x != "")
+    named = F.array_except(every, F.array(*map(F.lit, GENERAL)))
     return out.select(
         "doc_id",
         "n_words",
@@ -201,16 +252,12 @@ def scan(docs: DataFrame) -> DataFrame:
         F.get("base", F.lit(0))["first"].cast("long").alias("first_word"),
         F.get("base", n - 1)["first"].cast("long").alias("last_word"),
         F.array_join(F.sort_array(base_labels), ",").alias("base_labels"),
-        F.array_join(F.sort_array(F.filter(F.array_union(base_labels, own), lambda x: x != "")), ",").alias("labels"),
+        F.array_join(F.sort_array(F.when(F.size(named) > 0, named).otherwise(every)), ",").alias("labels"),
         F.coalesce(F.greatest(sure, F.when(n > 0, 0.5)), F.lit(0.0)).alias("score"),
         F.coalesce("detections", F.array().cast("array<struct<first:int,last:int,rank:int>>")).alias("detections"),
     )
 
 
-#: A word where upper case still stands.
-WORD_CASED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
-
 def op1(spark, sf_dir: str) -> DataFrame:
     from logloom.llm.common import table
 
@@ -221,6 +268,7 @@ def oracle() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({n}, {quote(label)}, {quote(key)}, {quote(regex)}, {sure}::DOUBLE)" for n, label, key, regex, sure in rules())
     phrases = ", ".join(f"({quote(f' {k} '.replace(' ', '  ')[1:-1])}, {quote(v)})" for k, v in BASE.items())
+    general = ", ".join(map(quote, GENERAL))
     return f"""
 WITH rule(rank, label, kw, re, sure) AS (VALUES {values}),
 phrase(p, label) AS (VALUES {phrases}),
@@ -244,7 +292,7 @@ kept AS (
 ), base AS (
   SELECT r, count(*) AS n, min(a) AS f, max(a) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM det WHERE rank = -1 GROUP BY r
 ), alls AS (
-  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM kept UNION ALL SELECT r, label FROM det WHERE rank = -1) WHERE label <> '' GROUP BY r
+  SELECT r, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE label NOT IN ({general})), string_agg(DISTINCT label, ',' ORDER BY label)) AS labels FROM (SELECT r, label FROM kept UNION ALL SELECT r, label FROM det WHERE rank = -1) WHERE label <> '' GROUP BY r
 ), best AS (SELECT r, max(sure) AS sure FROM (SELECT r, sure FROM kept UNION ALL SELECT r, sure FROM det WHERE rank = -1) GROUP BY r)
 SELECT doc_id, CAST((len(x) - len(replace(x, ' ', ''))) // 2 AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
   CAST(f AS BIGINT) AS first_word, CAST(l AS BIGINT) AS last_word, coalesce(base.labels, '') AS base_labels,

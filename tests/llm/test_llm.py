@@ -123,6 +123,29 @@ def test_licenses_gates_lose_nothing(spark):
     assert [(x["labels"], x["score"]) for x in (got[len(drawn) + i] for i in range(len(names)))] == [("lgpl", 0.8), ("openrail", 0.8), ("odbl", 0.8), ("wtfpl", 0.8), ("cc-by", 0.5), ("", 0.0), ("", 0.0)]
 
 
+HEADERS = {
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY. See the GNU Affero General Public License for more details.",
+    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. See the GNU General Public License for more details.",
+    "ncsa": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal with the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. Redistributions of source code must retain the above copyright notice. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, INCLUDING THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE CONTRIBUTORS OR COPYRIGHT HOLDERS BE LIABLE',
+    "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE',
+    "bsd": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that: 1. Redistributions of source code must retain the above copyright notice. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS". IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)',
+    "apache": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "mpl,mpl-1.1": 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License. The Initial Developer of the Original Code is X.',
+    "zlib": "In no event will the authors be held liable for any damages arising from the use of this software. The origin of this software must not be misrepresented. Altered source versions must be plainly marked as such.",
+    "license-notice": "you may not use this file except in compliance with the License. See the License for the specific language governing permissions and limitations.",
+    "disclaimer": "IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE",
+    "": "It is neither free nor licensed under the Mozilla Public License.",
+}
+
+
+def test_licenses_headers_have_their_own_labels_only(spark):
+    df = spark.createDataFrame(list(enumerate(HEADERS.values())), "doc_id long, text string")
+    got = {x["doc_id"]: x["labels"] for x in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(HEADERS))] == list(HEADERS)
+
+
 # --- 2 and 7 vectors
 
 VECTORS = "vec_id long, embedding array<float>, label int, score double, rank int"
