@@ -204,10 +204,11 @@ def matched(name: str) -> Column:
     tried: dict[str, list[str]] = {}
     for rank, _, key, regex, _ in rules():
         longest = max(literals(regex), key=len).lstrip()
-        found = f"named_struct('rank', {rank}, 'before', split({name}, r'{regex}', -1), 'found', regexp_extract_all({name}, r'{regex}', 0))"
-        tried.setdefault(key, []).append(f"CASE WHEN contains({name}, '{longest}') AND {name} RLIKE r'{regex}' THEN {found} END")
-    keyed = [f"CASE WHEN contains({name}, '{key.lstrip()}') THEN array({', '.join(some)}) END" for key, some in tried.items()]
-    return F.expr(f"filter(flatten(filter(array({', '.join(keyed)}), k -> k IS NOT NULL)), c -> c IS NOT NULL)")
+        found = f"named_struct('rank', {rank}, 'before', split(x, r'{regex}', -1), 'found', regexp_extract_all(x, r'{regex}', 0))"
+        tried.setdefault(key, []).append(f"CASE WHEN contains(x, '{longest}') AND x RLIKE r'{regex}' THEN {found} END")
+    keyed = [f"CASE WHEN contains(x, '{key.lstrip()}') THEN array({', '.join(some)}) END" for key, some in tried.items()]
+    # the text is named once, so that a constant one isn't copied into each condition of the plan
+    return F.expr(f"filter(flatten(filter(transform(array({name}), x -> array({', '.join(keyed)}))[0], k -> k IS NOT NULL)), c -> c IS NOT NULL)")
 
 
 def detections(name: str) -> Column:
@@ -228,7 +229,7 @@ def scan(docs: DataFrame) -> DataFrame:
     out = out.withColumn("lower", lowered(F.col("text")))
     out = out.withColumn("words", words(F.col("lower")))
     out = out.withColumn("n_words", (spaces(F.col("words")) / 2).cast("long"))
-    open_to = F.expr(" OR ".join(f"contains(words, '{part}')" for part in gate()))
+    open_to = F.expr("exists(array(words), x -> " + " OR ".join(f"contains(x, '{part}')" for part in gate()) + ")")
     out = out.withColumn("prepared", F.when(open_to, F.col("words")))
     prepared = F.col("prepared")
     base = " (?:" + "|".join(BASE).replace(" ", "  ") + ") "
