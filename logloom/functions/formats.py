@@ -23,6 +23,7 @@ RFC3339 = r"(?:\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?)(?:Z|(?:[-+]\d{2}:\
 PROGRAM = r"([\w\._/%-]+)(?:\[((?:[1-9][0-9]*))\])?"
 FACILITY = r"(?:<(?:[0-9]+).(?:[0-9]+)> )?"
 
+# The whole patterns of the formats.
 ACCESS = rf'({HOST}) ({USER}) ({USER}) \[({MONTH_DAY}/{MONTH}/{YEAR}:{CLOCK}\s{INTEGER})\] "({QUOTED})" ({INTEGER}|\-) ({INTEGER}|\-)'
 ERROR = rf"\[({WEEKDAY}\s+{MONTH}\s+{MONTH_DAY}\s+{CLOCK}\s+{YEAR})\] \[(?:(\w+):)?(\w+)\] \[pid ({DIGITS})(?::tid ({DIGITS}))?\] \[client ({HOST}(?::{POSITIVE})?)\] (.*)"
 SYSLOG = rf"({MONTH}\s+{MONTH_DAY}\s+{CLOCK}) {FACILITY}({USER}) {PROGRAM}: (.*)"
