@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 from collections.abc import Callable
 
@@ -53,10 +54,11 @@ def batch(spark: SparkSession, flow: Flow) -> DataFrame:
     return records(rows.withColumn("file_path", F.col("file_id")), flow)
 
 
-def stream(spark: SparkSession, flow: Flow, running: bool = False) -> DataFrame:
+def stream(spark: SparkSession, flow: Flow, running: bool = False, offset_log: str = "") -> DataFrame:
     """Records as files grow. With `running` what isn't complete stays in the state store:
     records of several lines are joined across micro-batches, and rows are held until the flow's buffer is due
-    (see streaming.state), in as many lanes as the flow has sending threads."""
+    (see streaming.state), in as many lanes as the flow has sending threads. With `offset_log` the
+    offsets are kept as deltas in that folder, which belongs to one query."""
     tail.register(spark)
     reader = spark.readStream.format("tail").option("path", flow.file_pattern).option("delimiter", flow.record_delimiter)
     reader = reader.option("startAtEnd", str(flow.initial_position == "END_OF_FILE").lower()).option("recursive", str(flow.directory_recursion).lower()).option("suffix", flow.file_suffix).option("skipHeaderLines", str(flow.skip_header_lines)).option("headerBytes", str(flow.header_bytes_length)).option("order", flow.order)
@@ -68,6 +70,8 @@ def stream(spark: SparkSession, flow: Flow, running: bool = False) -> DataFrame:
         reader = reader.option("multiLineStart", flow.multi_line_start_pattern)
     if flow.ignore_not_updated_file_seconds >= 0:
         reader = reader.option("ignoreOlderSeconds", str(flow.ignore_not_updated_file_seconds))
+    if offset_log:
+        reader = reader.option("offsetLog", offset_log)
     rows = reader.load()
     if flow.multi_line_start_pattern and running:
         release = flow.max_file_checking_millis if flow.miss_last_record_delimiter or not flow.file_appendable else -1
@@ -84,6 +88,13 @@ def delivery(flow: Flow, sender: sink.Sender, results: str, attempts: int = 10)
     return sink.Delivery(sender, results, flow.max_buffer_size_records, flow.max_buffer_size_bytes, flow.sending_threads, attempts, flow.retry_initial_backoff_millis, flow.retry_max_backoff_millis, flow.log_level)
 
 
+def offset_log(checkpoint: str) -> str:
+    """The folder of a query's offset log, within its checkpoint so that both go together; none where
+    the checkpoint is on a file system that Python can't write to."""
+    path = re.sub(r"^file:/+", "/", checkpoint)
+    return "" if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"{path.rstrip('/')}/tail"
+
+
 def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, running: bool = False):
     """Start the flow's streaming query; a micro-batch is due at the age of a buffer. With
     `running` the flow's buffers and open records outlive micro-batches; such a query has
@@ -92,8 +103,8 @@ def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], N
         if once:
             raise ValueError("a flow with running buffers can't be run once: what its buffers hold would stay there")
         with state.state_store(spark):
-            return stream(spark, flow, running=True).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(processingTime=f"{flow.min_time_between_polls_millis} milliseconds").start()
-    writer = stream(spark, flow).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+            return stream(spark, flow, running=True, offset_log=offset_log(checkpoint)).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(processingTime=f"{flow.min_time_between_polls_millis} milliseconds").start()
+    writer = stream(spark, flow, offset_log=offset_log(checkpoint)).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flow.max_buffer_age_millis} milliseconds")
     return writer.start()
 
