@@ -15,7 +15,7 @@ from logloom.operators import framing
 from logloom.plans import whole
 from logloom.plans.config import Config, Flow
 from logloom.sources import files
-from logloom.streaming import sink, state, tail
+from logloom.streaming import published, sink, state, tail
 
 
 def records(rows: DataFrame, flow: Flow) -> DataFrame:
@@ -95,16 +95,21 @@ def offset_log(checkpoint: str) -> str:
     return "" if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"{path.rstrip('/')}/tail"
 
 
-def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, running: bool = False):
+def start(spark: SparkSession, flow: Flow, deliver: Callable[[DataFrame, int], None] | published.Published, checkpoint: str, once: bool = False, running: bool = False):
     """Start the flow's streaming query; a micro-batch is due at the age of a buffer. With
     `running` the flow's buffers and open records outlive micro-batches; such a query has
-    timers, so it doesn't end by itself and can't be run `once`."""
+    timers, so it doesn't end by itself and can't be run `once`. Results are published as they are
+committed where `deliver` is a Published sink."""
+    if running and isinstance(deliver, published.Published):
+        raise ValueError("running buffers are sent in order, which needs a foreachBatch delivery")
     if running:
         if once:
             raise ValueError("a flow with running buffers can't be run once: what its buffers hold would stay there")
         with state.state_store(spark):
             return stream(spark, flow, running=True, offset_log=offset_log(checkpoint)).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(processingTime=f"{flow.min_time_between_polls_millis} milliseconds").start()
-    writer = stream(spark, flow, offset_log=offset_log(checkpoint)).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+    rows = stream(spark, flow, offset_log=offset_log(checkpoint))
+    writer = deliver.writer(rows) if isinstance(deliver, published.Published) else rows.writeStream.foreachBatch(deliver)
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{flow.max_buffer_age_millis} milliseconds")
     return writer.start()
 

@@ -23,6 +23,10 @@ from logloom.operators import batching, delivery
 
 Sender = Callable[[list[dict]], list[tuple[str, str] | None]]
 
+#: What is written of each record that was sent or given up.
+RESULT = "file_id string, end_offset long, partition_key string, data binary, error_code string, error_message string, task int, call long, pace double"
+RESULT_FIELDS = pa.schema([("file_id", pa.string()), ("end_offset", pa.int64()), ("partition_key", pa.string()), ("data", pa.binary()), ("error_code", pa.string()), ("error_message", pa.string()), ("task", pa.int32()), ("call", pa.int64()), ("pace", pa.float64())])
+
 
 class Backoff:
     """Delays after failures: doubled with each, with jitter; a partial failure counts as the
@@ -109,21 +113,23 @@ class Delivery:
         if out:
             yield out
 
+    def sent(self, rows: Iterator[dict], before: float, task: int) -> Iterator[list[dict]]:
+        """Send a task's rows call by call: what became of each, with the size of what was to be sent."""
+        backoff = Backoff(self.first_ms, self.most_ms, failures=before)
+        for call, chunk in enumerate(self.chunks(rows)):
+            try:
+                batching.check_size(sum(len(r["data"] or b"") for r in chunk))
+                done = send(chunk, self.sender, backoff, self.attempts)
+            except batching.TooLarge as e:
+                done = [(r, (type(e).__name__, str(e))) for r in chunk]
+            yield [r | {"n_bytes": len(r["data"] or b""), "data": None if x is None else r["data"], "error_code": x and x[0], "error_message": x and x[1], "task": task, "call": call, "pace": backoff.failures} for r, x in done]
+
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        sender, me, before = self.sender, self, self.pace_after(df.sparkSession, batch_id - 1)
-        names = ("file_id", "end_offset", "partition_key", "data", "error_code", "error_message", "task", "call", "pace")
-        fields = pa.schema(list(zip(names, (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.float64()), strict=True)))
+        me, before = self, self.pace_after(df.sparkSession, batch_id - 1)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            backoff, task = Backoff(me.first_ms, me.most_ms, failures=before), TaskContext.get().partitionId()
-            for call, chunk in enumerate(me.chunks(r for b in batches for r in b.to_pylist())):
-                try:
-                    batching.check_size(sum(len(r["data"] or b"") for r in chunk))
-                    done = send(chunk, sender, backoff, me.attempts)
-                except batching.TooLarge as e:
-                    done = [(r, (type(e).__name__, str(e))) for r in chunk]
-                rows = [r | {"data": None if x is None else r["data"], "error_code": x and x[0], "error_message": x and x[1], "task": task, "call": call, "pace": backoff.failures} for r, x in done]
-                yield pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows], schema=fields)
+            for rows in me.sent((r for b in batches for r in b.to_pylist()), before, TaskContext.get().partitionId()):
+                yield pa.RecordBatch.from_pylist([{n: r[n] for n in RESULT_FIELDS.names} for r in rows], schema=RESULT_FIELDS)
 
         buffers = [c for c in ("lane", "batch_no") if c in df.columns]
         rows = df.select("file_id", "end_offset", "partition_key", F.col("data").cast("binary").alias("data"), *buffers)
@@ -131,7 +137,7 @@ class Delivery:
             rows = rows.repartition(self.threads, "lane").sortWithinPartitions(*buffers, "file_id", "end_offset")
         elif self.threads > 1:
             rows = rows.repartition(self.threads)
-        out = rows.mapInArrow(run, "file_id string, end_offset long, partition_key string, data binary, error_code string, error_message string, task int, call long, pace double")
+        out = rows.mapInArrow(run, RESULT)
         # the payload of what failed is kept with its error: the dead letters
         out.write.mode("overwrite").parquet(f"{self.results}/batch_id={batch_id}")
         if self.log_level is not None:
