@@ -8,7 +8,8 @@ summed per task, go to hash buckets, where duckdb counts them out of core: its t
 spill lie in a folder of the task that is removed with it; nothing else reads them. The counts
 of the parts of a phrase meet it by requests that are shuffled to where the counts lie.
 
-Which phrases of the level before passed is sent to the tasks up to a bound (`SENT_ROWS`,
+Words, pairs and the runs of good pairs are found over many pieces at once in arrays, pairs as
+numbers. Which phrases of the level before passed is sent to the tasks up to a bound (`SENT_ROWS`,
 `SENT_BYTES`, counted first); beyond it each position of a piece asks for its phrase by a
 shuffled request. Both ways give the same rows.
 
@@ -27,7 +28,9 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,9 @@ SENT_ROWS, SENT_BYTES = 400_000, 16 << 20
 #: Memory of duckdb in a task, and positions that a bucket should have at most.
 DUCKDB_MEMORY, BUCKET_POSITIONS = "256MB", 4_000_000
 
+#: Bytes of phrases that a task takes apart at a time.
+GATHERED = 16 << 20
+
 COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("weight", pa.int64())])
 SCHEMA = "lang string, phrase string, weight long"
 
@@ -141,20 +147,133 @@ def asked(source: DataFrame, passed: DataFrame, k: int) -> DataFrame:
     return source.join(answers, "id")
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray, pa.Array, np.ndarray]]:
+    """Rows of (lang, phrase, weight) some `GATHERED` bytes at a time, by lang: the lang, its
+    phrases and weights, all their words end to end, and where each phrase's words start there."""
+
+    def out() -> Iterator[tuple[str, pa.Array, np.ndarray, pa.Array, np.ndarray]]:
+        rows = pa.Table.from_batches(held).select(["lang", "phrase", "weight"])
+        for lang in pc.unique(rows.column("lang")).to_pylist():
+            own = rows.filter(pc.equal(rows.column("lang"), lang)).combine_chunks()
+            phrase = own.column("phrase").cast(pa.large_string()).combine_chunks()
+            lists = pc.split_pattern(phrase, " ")
+            starts = lists.offsets.to_numpy()
+            yield lang, phrase, own.column("weight").to_numpy(), lists.flatten(), starts - starts[0]
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, 1, GATHERED):
+            held.append(part)
+            size += part.nbytes
+            if size >= GATHERED:
+                yield from out()
+                held, size = [], 0
+    if held:
+        yield from out()
+
+
+def totalled(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value once, with the sum of its weights."""
+    order = np.argsort(values, kind="stable")
+    values = values[order]
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.add.reduceat(weights[order], first) if len(first) else weights[:0]
+
+
+def word_counts(source: DataFrame) -> DataFrame:
+    """The partly summed words of all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, _, weights, words, starts in gathered(batches):
+            found = words.dictionary_encode()
+            value, weight = totalled(found.indices.to_numpy(), np.repeat(weights, np.diff(starts)))
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(value)), found.dictionary.take(pa.array(value)).cast(pa.string()), pa.array(weight)], schema=COUNTED)
+
+    return source.select("lang", "phrase", "weight").mapInArrow(run, SCHEMA)
+
+
+def pair_codes(words: pa.Array, starts: np.ndarray, names: pa.Array) -> np.ndarray:
+    """For each word and the next a number, from their places in `names`; -1 where one has none or
+    the next belongs to another phrase."""
+    place = pc.fill_null(pc.index_in(words, value_set=names), -1).to_numpy().astype(np.int64)
+    code = np.where((place[:-1] >= 0) & (place[1:] >= 0), place[:-1] * len(names) + place[1:], -1)
+    code[starts[1:-1] - 1] = -1
+    return code
+
+
+def by_lang(passed: DataFrame) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for r in passed.select("lang", "phrase").toLocalIterator():
+        out.setdefault(r[0], []).append(r[1])
+    return out
+
+
+def pair_counts(source: DataFrame, words: DataFrame, least: int) -> DataFrame:
+    """lang, phrase, f of the pairs of `words` that occur `least` times or more: counted as numbers."""
+    sent = source.sparkSession.sparkContext.broadcast({lang: pa.array(w, pa.large_string()) for lang, w in by_lang(words).items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, _, weights, found, starts in gathered(batches):
+            if lang in sent.value:
+                code = pair_codes(found, starts, sent.value[lang])
+                there = np.flatnonzero(code >= 0)
+                value, weight = totalled(code[there], np.repeat(weights, np.diff(starts))[there])
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(value)), pa.array(value), pa.array(weight)], names=["lang", "code", "weight"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, code, f = (c.to_pylist() for c in batch.columns)
+            names = [sent.value[x] for x in lang]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f"{n[c // len(n)]} {n[c % len(n)]}" for n, c in zip(names, code, strict=True)], pa.string()), batch.column(2)], names=["lang", "phrase", "f"])
+
+    coded = source.select("lang", "phrase", "weight").mapInArrow(run, "lang string, code long, weight long")
+    return coded.groupBy("lang", "code").agg(F.sum("weight").alias("f")).where(F.col("f") >= least).mapInArrow(named, "lang string, phrase string, f long")
+
+
+def pair_runs(source: DataFrame, pairs: DataFrame) -> DataFrame:
+    """lang, phrase, weight: the longest runs of at least three words whose pairs are all in `pairs`."""
+    good = {}
+    for lang, found in by_lang(pairs).items():
+        names = sorted({w for p in found for w in p.split(" ")})
+        place = {w: i for i, w in enumerate(names)}
+        good[lang] = pa.array(names, pa.large_string()), pa.array([place[a] * len(names) + place[b] for a, b in (p.split(" ") for p in found)], pa.int64())
+    sent = source.sparkSession.sparkContext.broadcast(good)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, phrase, weights, words, starts in gathered(batches):
+            if lang not in sent.value:
+                continue
+            names, codes = sent.value[lang]
+            flags = pc.is_in(pa.array(pair_codes(words, starts, names)), value_set=codes).to_numpy(zero_copy_only=False)
+            step = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
+            first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)  # words of each run
+            long = last - first >= 2
+            first, last = first[long], last[long]
+            row = np.searchsorted(starts, first, side="right") - 1
+            # words stand in their phrase with a space between
+            at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+            begin = np.frombuffer(phrase.buffers()[1], np.int64)[phrase.offset : phrase.offset + len(phrase) + 1][row] - at[starts[row]] - starts[row]
+            data = memoryview(phrase.buffers()[2])
+            texts = [bytes(data[a:b]) for a, b in zip((begin + at[first] + first).tolist(), (begin + at[last + 1] + last).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(texts)), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(weights[row])], schema=COUNTED)
+
+    return source.select("lang", "phrase", "weight").mapInArrow(run, SCHEMA)
+
+
+def few(passed: DataFrame) -> bool:
+    """Whether a level may be sent to all tasks."""
+    n, size = passed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    return n <= SENT_ROWS and size <= SENT_BYTES
+
+
 def kept(source: DataFrame, passed: DataFrame, k: int) -> tuple[DataFrame, Callable[..., list[list[bytes]]], bool]:
     """The rows of `source`, what gives the runs of a row whose phrases of k-1 words all passed,
     and whether rows may be taken together."""
-    n, size = passed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
-    if n > SENT_ROWS or size > SENT_BYTES:
+    if not few(passed):
         return asked(source, passed, k), lambda lang, words, places: runs(words, set(places), k, places=True), False
-    by_lang: dict[str, set[bytes] | dict[bytes, set[bytes]]] = {}
-    for r in passed.select("lang", F.col("phrase").cast("binary")).toLocalIterator():
-        if k == 3:
-            first, second = bytes(r[1]).split(b" ")
-            by_lang.setdefault(r[0], {}).setdefault(first, set()).add(second)
-        else:
-            by_lang.setdefault(r[0], set()).add(bytes(r[1]))
-    sent = source.sparkSession.sparkContext.broadcast(by_lang)
+    good = {lang: {p.encode() for p in found} for lang, found in by_lang(passed).items()}
+    sent = source.sparkSession.sparkContext.broadcast(good)
     return source, lambda lang, words: runs(words, sent.value.get(lang, set()), k), True
 
 
@@ -191,13 +310,17 @@ def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     totals = staged(source.groupBy("lang").agg(F.sum(F.col("weight") * size).alias("n"), F.sum(size).alias("positions")), "phrases-totals")
     positions = totals.agg(F.coalesce(F.sum("positions"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-positions // BUCKET_POSITIONS))
-    levels = [staged(counts(each(source, lambda lang, words, weight: ((lang, [w for w in words if w != BETWEEN], weight),), together=True), least, buckets), "phrases-1")]
+    levels = [staged(counts(word_counts(source), least, buckets), "phrases-1")]
     for k in range(2, LONGEST + 1):
-        rows, good, together = kept(source, levels[-1], k)
+        if k == 2 and few(levels[-1]):
+            levels.append(staged(pair_counts(source, levels[-1], least), "phrases-2"))
+            continue
+        alone = k == 3 and few(levels[-1])
+        rows, good, together = (None, None, True) if alone else kept(source, levels[-1], k)
         if k == 2:
             partial = each(rows, lambda lang, words, weight, *places, good=good: ((lang, phrases(r, 2), weight) for r in good(lang, words, *places)), together)
         else:  # what is left is little: identical runs become one
-            left = each(rows, lambda lang, words, weight, *places, good=good: ((lang, [b" ".join(r) for r in good(lang, words, *places)], weight),), together)
+            left = pair_runs(source, levels[-1]) if alone else each(rows, lambda lang, words, weight, *places, good=good: ((lang, [b" ".join(r) for r in good(lang, words, *places)], weight),), together)
             before, source = source, staged(left.groupBy("lang", "phrase").agg(F.sum("weight").alias("weight")).withColumn("id", F.monotonically_increasing_id()), f"phrases-runs-{k}")
             unstaged(before)
             partial = each(source, lambda lang, words, weight, k=k: ((lang, phrases(words, k), weight),))

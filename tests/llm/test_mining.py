@@ -112,6 +112,19 @@ def test_phrases(spark, monkeypatch, shuffled):
     assert sorted(map(tuple, found.collect())) == want and {w[0] for w in want} == {"en", "de", "und"} and len(want) > 40
 
 
+def test_phrases_in_small_gathers(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "GATHERED", 300)  # pairs and runs end with their phrase, whatever is gathered
+    docs = made(7, 120) + [(8000, "x1 é. é x1, x1 é", "de"), (8001, "日本 x1 日本 x1", "und")] * 9
+    assert sorted(map(tuple, phrases.collocations(frame(spark, docs), least=6, most=40).collect())) == mined(docs, 6, 40)
+
+
+def test_pairs_stay_in_their_phrase():
+    words, starts = phrases.pa.array(["a", "b", "a", "b", "c"], phrases.pa.large_string()), phrases.np.array([0, 2, 3, 5])
+    assert phrases.pair_codes(words, starts, phrases.pa.array(["a", "b"], phrases.pa.large_string())).tolist() == [1, -1, -1, -1]
+    values, sums = phrases.totalled(phrases.np.array([7, 3, 7]), phrases.np.array([1, 2, 1 << 60]))
+    assert values.tolist() == [3, 7] and sums.tolist() == [2, (1 << 60) + 1]
+
+
 def test_phrases_of_nothing(spark):
     assert phrases.collocations(frame(spark, [])).count() == 0
     assert phrases.collocations(frame(spark, [(1, None, None), (2, "", "en"), (3, "a b. a b", "en")])).count() == 0
