@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -56,6 +57,25 @@ def splitter() -> regex.Pattern:
     return regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
 
 
+#: Characters that `quick_splitter` doesn't know.
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache(1)
+def quick_splitter() -> re.Pattern:
+    """The same pattern for texts without ASTRAL characters, its classes spelled out as ranges."""
+
+    def ranges(kind: str) -> str:
+        runs = regex.compile(rf"\p{{{kind}}}+").finditer("".join(map(chr, range(1 << 16))))
+        return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in runs)
+
+    letter, number, space = ranges("L"), ranges("N"), ranges("White_Space")
+    pattern = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]")
+    for name, members in ((r"\p{L}", letter), (r"\p{N}", number), (r"\s", space)):
+        pattern = pattern.replace(name, f"[{members}]")
+    return re.compile(pattern.replace(r"\S", f"[^{space}]"))
+
+
 def chunk_starts(length: int, chunk: int, overlap: int) -> range:
     return range(0, max(1, length - overlap), chunk - overlap)
 
@@ -98,7 +118,7 @@ def stitch(text: str, chunks: Iterable[tuple[int, int, list[str]]]) -> tuple[lis
 
 def split(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[list[str], int]:
     """The pieces of a text, and how many of its chunks were stitched."""
-    find = splitter().findall
+    find = (splitter() if ASTRAL.search(text) else quick_splitter()).findall
     if len(text) <= chunk:
         return find(text), 0
     return stitch(text, ((s, min(len(text), s + chunk), find(text[s : s + chunk])) for s in chunk_starts(len(text), chunk, overlap)))

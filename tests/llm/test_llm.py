@@ -292,6 +292,15 @@ def test_bpe_stitching():
         assert bpe.split(t)[0] == bpe.splitter().findall(t)
 
 
+def test_bpe_quick_pattern_is_the_same():
+    every = [chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000]
+    r = random.Random(9)
+    some = "".join(c + r.choice(["", " ", "a", "1", "'s", "\n", "\x1c"]) for c in every)
+    assert bpe.quick_splitter().findall(some) == bpe.splitter().findall(some)
+    assert all(bpe.quick_splitter().findall(f"a{c}1 {c}{c} x") == bpe.splitter().findall(f"a{c}1 {c}{c} x") for c in every)
+    assert bpe.split("a \U00020000b 1\U0001d7ce") == (bpe.splitter().findall("a \U00020000b 1\U0001d7ce"), 0)
+
+
 def test_bpe_merges_like_the_library():
     import public_tokenizers
     import tiktoken
