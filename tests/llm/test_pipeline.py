@@ -1,5 +1,8 @@
 import corpus_pipeline as p
-from logloom.llm import jaccard, pii
+import pyarrow as pa
+import pytest
+from logloom.llm import common, jaccard, pii
+from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.001"
 
@@ -29,3 +32,24 @@ def test_odd_documents(spark):
     assert d.count() == 0
     kept = p.one_of_near_copies(spark, docs, DATA)
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("own", [None, "1m"])
+@pytest.mark.parametrize("name, stage", p.STAGES)
+def test_batches_to_python(spark, monkeypatch, name, stage, own):
+    """Whatever rows a stage returns go to Python in small batches, a size set by the user stays."""
+    for module, operator in ((p.toxicity, "train"), (p.toxicity, "not_toxic"), (p.jaccard, "joined"), (p.pii, "redacted"), (p.mixing, "select"), (p.bpe, "encode")):
+        monkeypatch.setattr(module, operator, lambda docs, *_, **__: docs.withColumn("component_id", F.col("doc_id")))
+    session = spark.newSession()
+    if own:
+        session.conf.set(common.BATCH, own)
+    docs = session.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("four"), 1000).alias("text"))
+    stage(session, docs, DATA)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    found = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 4000
+    assert max(r["bytes"] for r in found) < (1 << 20 if own else common.BATCH_BYTES) + 10_000
